@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import training
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**training.QUERIES}
+ORACLES: dict[str, str] = {**training.ORACLES}

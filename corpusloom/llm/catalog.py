@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import similar
+from . import defects, similar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _conversations(spark: SparkSession, folder: str) -> DataFrame:
+    tables = [_table(spark, folder, n).select("record_no", "messages", F.lit(n).alias("table_name")) for n in ("empty_content", "no_role", "empty_messages")]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return defects.defective_pairs(_conversations(spark, folder))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar.similar_pairs(similar.similar_groups(_table(spark, folder, "pretraining_normalized")))
 
@@ -24,6 +34,7 @@ def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p3_found": p3_found,
     "p5_found": p5_found,
     "p5_groups": p5_groups,
 }

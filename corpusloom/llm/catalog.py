@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import defects, similar
+from ..session import stored
+from . import budget, defects, mixing, packing, similar
+from .bpe import with_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,22 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return defects.defective_pairs(_conversations(spark, folder))
 
 
+def _counted(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.counted(_table(spark, folder, "pretraining_normalized"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.wrong_counts(_counted(spark, folder))
+
+
+def p4_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.once(_counted(spark, folder)).select("id", "recorded", "tokens")
+
+
+def p4_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.totals(_counted(spark, folder))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar.similar_pairs(similar.similar_groups(_table(spark, folder, "pretraining_normalized")))
 
@@ -33,10 +51,68 @@ def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
     return similar.group_report(similar.similar_groups(_table(spark, folder, "pretraining_normalized")))
 
 
+def _sized(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their tokens, counted once for the passes that follow."""
+    return stored(with_tokens(_table(spark, folder, "documents"), keep=["doc_id", "source"]), "sizes")
+
+
+def _capacities(spark: SparkSession, folder: str) -> dict[str, int]:
+    return {r["container"]: int(r["capacity_tokens"]) for r in _table(spark, folder, "container_sizes").collect()}
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of which the packing for ctx_4k has more than one piece."""
+    packed = packing.pack(_sized(spark, folder), _capacities(spark, folder)["ctx_4k"])
+    return packed.where("part = 1").select("doc_id")
+
+
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _sized(spark, folder)
+    return _union([packing.pack(docs, n).select(F.lit(c).alias("container"), "*") for c, n in _capacities(spark, folder).items()])
+
+
+def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _sized(spark, folder)
+    return _union([packing.fill_report(packing.pack(docs, n), n).select(F.lit(c).alias("container"), "*") for c, n in _capacities(spark, folder).items()])
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources whose actual share of the mixture is limited by max_repeats."""
+    docs = _sized(spark, folder).withColumn("source", mixing.source_name(F.col("source")))
+    targets = _table(spark, folder, "mixture_targets")
+    return mixing.shares(mixing.mix(docs, targets), mixing.sizes(docs, targets)).where("falls_short").select("source")
+
+
+def p7_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_sized(spark, folder), _table(spark, folder, "mixture_targets"))
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _sized(spark, folder).withColumn("source", mixing.source_name(F.col("source")))
+    targets = _table(spark, folder, "mixture_targets")
+    return mixing.shares(mixing.mix(docs, targets), mixing.sizes(docs, targets))
+
+
 QUERIES: dict[str, Query] = {
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_tokens": p4_tokens,
+    "p4_totals": p4_totals,
     "p5_found": p5_found,
     "p5_groups": p5_groups,
+    "p6_found": p6_found,
+    "p6_packed": p6_packed,
+    "p6_fill": p6_fill,
+    "p7_found": p7_found,
+    "p7_mixed": p7_mixed,
+    "p7_shares": p7_shares,
 }
 
 ORACLES: dict[str, str] = {}

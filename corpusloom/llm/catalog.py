@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stored
-from . import budget, defects, mixing, packing, similar
+from . import budget, defects, mixing, packing, similar, subjects
 from .bpe import with_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,18 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(mixing.mix(docs, targets), mixing.sizes(docs, targets))
 
 
+def _subjects(spark: SparkSession, folder: str) -> DataFrame:
+    return subjects.subjects_of(*(_table(spark, folder, n) for n in ("documents", "doc_subject_labels", "subject_areas")))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _subjects(spark, folder).select("doc_id", "subject")
+
+
+def p8_makeup(spark: SparkSession, folder: str) -> DataFrame:
+    return subjects.makeup(_subjects(spark, folder), _table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "p3_found": p3_found,
     "p4_found": p4_found,
@@ -113,6 +125,8 @@ QUERIES: dict[str, Query] = {
     "p7_found": p7_found,
     "p7_mixed": p7_mixed,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_makeup": p8_makeup,
 }
 
 ORACLES: dict[str, str] = {}

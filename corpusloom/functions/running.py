@@ -34,3 +34,16 @@ def running_sum(df: DataFrame, groups: list[str], row: str, value: Column, into:
 def rank_in_group(df: DataFrame, groups: list[str], row: str, into: str, buckets: int = BUCKETS) -> DataFrame:
     """Adds `into`: 0, 1, 2 ... within each group."""
     return running_sum(df, groups, row, F.lit(1), into, buckets)
+
+
+def ordinal_by_key(df: DataFrame, key: str, into: str = "ordinal", width: int = 10_000) -> DataFrame:
+    """Adds `into`: the position, from 0, in the order of a whole-number key that is unique.
+
+    Rows are ranked within ranges of the key of this width; the ranges' counts, one row each, give the
+    offsets.  Null keys come first."""
+    held = df.withColumn("__b", F.floor(F.col(key) / width))
+    counts = held.groupBy("__b").agg(F.count("*").alias("__n"))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__o"))
+    within = Window.partitionBy("__b").orderBy(key)
+    return held.withColumn("__r", F.row_number().over(within) - 1).join(offsets, F.col("__b").eqNullSafe(F.col("__ob"))).withColumn(into, F.col("__r") + F.col("__o")).drop("__b", "__r", "__ob", "__o")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import training
+from . import conversations, corpus, training
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**training.QUERIES}
-ORACLES: dict[str, str] = {**training.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**training.QUERIES, **corpus.QUERIES, **conversations.QUERIES}
+ORACLES: dict[str, str] = {**training.ORACLES, **corpus.ORACLES, **conversations.ORACLES}

@@ -34,6 +34,12 @@ def survivors(df: DataFrame, row: str, text: Column) -> DataFrame:
     return df.select(row, text_hash(text).alias("h")).groupBy("h").agg(F.min(row).alias(row)).select(row)
 
 
+def first_rows(df: DataFrame, row: str, text: Column, keep: list[Column]) -> DataFrame:
+    """The row with the smallest id of each text, with the columns in keep: one pass, and only the ids, hashes and kept columns are shuffled."""
+    kept = df.select(text_hash(text).alias("h"), F.struct(F.col(row), *keep).alias("r"))
+    return kept.groupBy("h").agg(F.min("r").alias("r")).select("r.*")
+
+
 def _constants() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20_240_101)
     n = BANDS * BAND_ROWS

@@ -98,8 +98,8 @@ def dedup_reconcile(spark, folder):
 def _kept(spark, folder) -> DataFrame:
     """The flagship's rows: documents of distinct texts with domain, source and words."""
     docs = documents(spark, folder).select("doc_id", T.normal_text(F.col("text")).alias("text"), F.lower("source").alias("source_dataset"), F.col("lang").alias("domain"))
-    first = docs.join(dedup.exact_classes(docs, "doc_id", F.col("text")).where("doc_id = keep").select("doc_id"), "doc_id")
-    return first.select("doc_id", "domain", "source_dataset", F.col("source_dataset").alias("subdomain"), whitespace_tokens(F.col("text")).alias("token_count"))
+    columns = ["domain", "source_dataset", F.col("source_dataset").alias("subdomain"), whitespace_tokens(F.col("text")).alias("token_count")]
+    return dedup.first_rows(docs, "doc_id", F.col("text"), columns)
 
 
 _KEPT = f"(select doc_id, coalesce(nullif(lang, ''), 'unknown') as domain, coalesce(nullif(lower(source), ''), 'unknown') as source_dataset, {WORDS} as t from documents where doc_id in (select min(doc_id) from documents group by sha256(coalesce({SPACED}, ''))))"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Buckets a group is dealt over; a group of a third of all rows becomes so many parts.
-BUCKETS = 64
+BUCKETS = 256
 
 
 def running_sum(df: DataFrame, groups: list[str], row: str, value: Column, into: str, buckets: int = BUCKETS) -> DataFrame:

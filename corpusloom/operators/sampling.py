@@ -66,7 +66,7 @@ def with_part(df: DataFrame, parts: int, ordinal: str, total: int | None = None)
 
 def shuffled_parts(df: DataFrame, row: str, parts: int, seed: int = 0) -> DataFrame:
     """Adds `part` of a shuffled split: sizes differ by one at most."""
-    ranked = rank_in_group(df.withColumn("__all", F.lit(0)), ["__all"], row, "__rank")
+    ranked = rank_in_group(df.withColumn("__all", F.lit(0)), ["__all"], row, "__rank", buckets=4096)
     n = df.count()
     mixed = F.pmod(F.col("__rank") + F.lit(seed), F.lit(max(n, 1)))
     return with_part(ranked.withColumn("__rank", mixed), parts, "__rank", n).drop("__all", "__rank")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -46,7 +45,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.setdefault(os.getpid(), []).append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,6 +55,3 @@ def drop(df: DataFrame) -> None:
         if "/corpusloom/" in path:
             hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-_written: dict[int, list] = {}

@@ -101,12 +101,16 @@ def unpack(packed: bytes) -> np.ndarray:
     return sketch
 
 
+def _no_json(constant: str) -> None:
+    raise ValueError(constant)
+
+
 def _as_object(body: str | None) -> dict | None:
-    """The JSON object of a line; None for anything else."""
+    """The JSON object of a line; None for anything else, NaN and Infinity included."""
     if not body:
         return None
     try:
-        found = json.loads(body)
+        found = json.loads(body, parse_constant=_no_json)
     except (ValueError, RecursionError):
         return None
     return found if isinstance(found, dict) else None

@@ -270,12 +270,22 @@ def eval_filter(spark, folder):
     return filters.reason_counts(rollouts, filters.trajectory_reason(rollouts, exclude_errors=True, min_turns=10, max_turns=80))
 
 
+def _assigned(spark, folder) -> DataFrame:
+    docs = topics.prepared(documents(spark, folder), "doc_id")
+    vectors = stored(topics.features(docs, word_dims=TOPIC_DIMS[0], piece_dims=TOPIC_DIMS[1]).select("doc_id", "bytes", "features"), "vectors")
+    return topics.assign(vectors, topics.fit(vectors, "doc_id", k=TOPICS)).select("doc_id", "bytes", "cluster", F.round("distance", 6).alias("distance"))
+
+
 @query()
 def topic_clusters(spark, folder):
     """Cluster and distance of each document."""
-    docs = topics.prepared(documents(spark, folder), "doc_id")
-    vectors = stored(topics.features(docs, word_dims=TOPIC_DIMS[0], piece_dims=TOPIC_DIMS[1]).select("doc_id", "bytes", "features"), "vectors")
-    return topics.assign(vectors, topics.fit(vectors, "doc_id", k=TOPICS)).select("doc_id", "cluster", F.round("distance", 6).alias("distance"))
+    return _assigned(spark, folder).drop("bytes")
+
+
+@query()
+def topic_quality(spark, folder):
+    """Sizes, shares and distance percentiles of the clusters, and whether they pass the gate."""
+    return topics.quality(stored(_assigned(spark, folder), "assigned"), "doc_id", TOPICS)
 
 
 @query()

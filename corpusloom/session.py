@@ -55,3 +55,25 @@ def drop(df: DataFrame) -> None:
         if "/corpusloom/" in path:
             hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def preflight(spark: SparkSession, tasks: int = 8) -> DataFrame:
+    """(task, host, python, ok): a job of so many tasks, each of which imports what the operators need, writes to a scratch file and reads it back."""
+    from pyspark import TaskContext
+
+    def probe(batches):  # noqa: ANN001, ANN202
+        import platform
+        import sys
+
+        import numpy
+        import pyarrow as pa
+
+        for b in batches:
+            with tempfile.TemporaryFile() as f:
+                f.write(numpy.arange(3).tobytes())
+                f.seek(0)
+                ok = len(f.read()) == 24
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array([platform.node()] * n), pa.array([sys.version.split()[0]] * n), pa.array([ok] * n)], ["task", "host", "python", "ok"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(probe, "task int, host string, python string, ok boolean")

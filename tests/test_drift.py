@@ -89,3 +89,9 @@ def test_flooding_prefers_the_same_content(spark):
     before = {"spdx": s("odc-by", "mit"), "uuid": s("a8098c1a-f86e-11da-bd1a-00112444be1e")}
     after = {"licence": s("mit", "odc-by"), "id": s("b8098c1a-f86e-11da-bd1a-00112444be1f")}
     assert drift.match_fields(before, after) == [("spdx", "licence"), ("uuid", "id")]
+
+
+def test_what_is_a_json_object():
+    assert drift._as_object('{"a": 1}') == {"a": 1}
+    for body in (None, "", "  ", "null", "[]", "1", '{"a": NaN}', '{"a": 1} x', "{'a': 1}", "﻿{}"):
+        assert drift._as_object(body) is None

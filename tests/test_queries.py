@@ -6,7 +6,7 @@ from corpusloom.plans import catalog
 
 from . import oracle
 
-SLOW = {"topic_clusters"}
+SLOW = {"topic_clusters"}  # topic_quality runs the same and more
 
 
 @pytest.fixture(scope="module")

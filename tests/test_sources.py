@@ -131,3 +131,18 @@ def test_explore(spark):
     assert explore.search(full.select("uuid"), "T1", ["uuid"]).first()["around"] == "t1"
     md = full.select(sinks.as_markdown(F.col("messages"), F.col("uuid"))).first()[0]
     assert "### USER" in md and "(empty)" in md
+
+
+def test_preflight_and_cli(spark, tmp_path, capsys):
+    from corpusloom import cli
+    from corpusloom.session import preflight
+
+    assert preflight(spark, 4).where("ok").count() == 4
+    p = tmp_path / "r.jsonl"
+    p.write_text("".join(json.dumps({"uuid": f"u{i}", "messages": [{"role": "user", "content": f"hello {i}"}], "tools": []}) + "\n" for i in range(5)))
+    assert cli.main(["stats", str(p)]) == 0
+    assert cli.main(["show", str(p), "1"]) == 0
+    assert "u1" in capsys.readouterr().out
+    assert cli.main(["split", str(p), "-n", "2", "-o", str(tmp_path / "parts")]) == 0
+    assert spark.read.parquet(str(tmp_path / "parts")).groupBy("part").count().count() == 2
+    assert cli.main(["show", str(tmp_path / "nothing"), "1"]) == 1

@@ -138,11 +138,12 @@ class Models:
 
     @classmethod
     def count(cls, grams: Grams, weight: np.ndarray, margin: float = 0.9) -> Models:
-        tables = []
         classes = weight.shape[1]
-        each = weight[grams.row]
-        for at, bits in zip((grams.w, grams.b, grams.t), BITS, strict=True):
-            tables.append(np.stack([np.bincount(at, each[:, k], 1 << bits) for k in range(classes)], 1).astype(np.float32))
+        tables = [np.empty((1 << bits, classes), np.float32) for bits in BITS]
+        for k in range(classes):  # one class at a time keeps the driver's memory low
+            each = weight[:, k][grams.row]
+            for table, at, bits in zip(tables, (grams.w, grams.b, grams.t), BITS, strict=True):
+                table[:, k] = np.bincount(at, each, 1 << bits)
         prior = np.full(classes, 1 / classes, np.float32)  # a statement's words decide, not how common its subject is
         return cls(tables, prior, margin)
 
@@ -202,8 +203,7 @@ def train(labelled: list[tuple[int, str, list[str]]], subjects: list[str]) -> Mo
     alone = may.sum(1) == 1
     weight[~alone, 0] *= FIRST_BACKGROUND  # else it takes everything: it is allowed everywhere
     for _ in range(ROUNDS):
-        models = Models.count(grams, weight)
-        weight = models.posterior(grams, may)
+        weight = Models.count(grams, weight).posterior(grams, may)
     for _ in range(FREE_ROUNDS):
         weight = Models.count(grams, weight).posterior(grams)
     models = Models.count(grams, weight)

@@ -164,6 +164,13 @@ def test_blank_refused_and_copied():
         assert not defects.is_copy(q, a), a
 
 
+def test_very_long_answers():
+    long = "I can't help but say that " * 40_000
+    assert not defects.is_refusal(long) and not defects.is_copy("What is it?", long) and not defects.is_blank(long)
+    assert defects.is_copy("why so " * 20_000, "why so " * 20_000)
+    assert defects.context(long) == "letter closed plain many"
+
+
 def conversations(spark, rows):
     return spark.createDataFrame([("t", i, m, "x") for i, m in enumerate(rows)], "table_name string, record_no long, messages array<struct<role:string,content:string>>, defect string")
 

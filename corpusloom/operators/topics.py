@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.text import cluster_text, shape_flags, stable_hash, url_host
 from .sampling import apportion, below_share, sub_partition, top_by_hash
@@ -45,9 +50,6 @@ def features(df: DataFrame, text: str = "text", word_dims: int = WORD_DIMS, piec
     out = HashingTF(inputCol="__c", outputCol="__cv", numFeatures=piece_dims).transform(out)
     out = Normalizer(inputCol="__gv", outputCol="__gn").transform(out)
     out = Normalizer(inputCol="__cv", outputCol="__cn").transform(out)
-    from pyspark.ml.feature import ElementwiseProduct
-    from pyspark.ml.linalg import Vectors
-
     out = ElementwiseProduct(inputCol="__gn", outputCol="__gs", scalingVec=Vectors.dense([WORD_WEIGHT] * word_dims)).transform(out)
     out = ElementwiseProduct(inputCol="__cn", outputCol="__cs", scalingVec=Vectors.dense([PIECE_WEIGHT] * piece_dims)).transform(out)
     out = VectorAssembler(inputCols=["__gs", "__cs"], outputCol="__v").transform(out)
@@ -64,13 +66,30 @@ def fit(vectors: DataFrame, row: str, k: int = CLUSTERS, documents: int = FIT_DO
 
 
 def assign(vectors: DataFrame, model: KMeansModel) -> DataFrame:
-    """Adds `cluster` and `distance` to its centre: both vectors and centres are dense arrays of fixed size, so this stays in the JVM."""
-    centres = model.clusterCenters()
-    spark = vectors.sparkSession
-    table = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cluster int, centre array<double>")
-    joined = model.transform(vectors).join(F.broadcast(table), "cluster")  # k rows
-    square = F.aggregate(F.zip_with(vector_to_array("features"), "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    return joined.withColumn("distance", F.sqrt(square)).drop("centre")
+    """Columns but the features, with `cluster` and `distance` to its centre.
+
+    Vectors stay sparse: a row costs its own features times the number of clusters.  The centres are
+    broadcast; their size is clusters times dimensions, which the settings fix."""
+    kept = [c for c in vectors.columns if c != "features"]
+    schema = StructType([*vectors.select(*kept).schema.fields, StructField("cluster", IntegerType()), StructField("distance", DoubleType())])
+    centres = np.stack(model.clusterCenters()).astype(np.float32).T.copy()
+    sent = vectors.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_feature = sent.value
+        square = (by_feature.astype(np.float64) ** 2).sum(0)
+        for b in batches:
+            v = b.column("features")
+            cluster, distance = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
+            for i, (at, values) in enumerate(zip(v.field("indices"), v.field("values"), strict=True)):
+                x = np.asarray(values.values.to_numpy(zero_copy_only=False))
+                rows = by_feature[np.asarray(at.values.to_numpy(zero_copy_only=False))] if at.is_valid else by_feature
+                away = square - 2 * (x @ rows) + x @ x
+                cluster[i] = int(away.argmin())
+                distance[i] = float(np.sqrt(max(away[cluster[i]], 0.0)))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(cluster), pa.array(distance)], [*kept, "cluster", "distance"])
+
+    return vectors.select(*kept, "features").mapInArrow(run, schema)
 
 
 def quality(assigned: DataFrame, row: str, clusters: int, documents: int = QUALITY_DOCUMENTS, seed: int = 0) -> DataFrame:

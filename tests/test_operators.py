@@ -181,3 +181,29 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         ingest.ingest(rows, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     assert sorted(r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_topic_clusters(spark):
+    from corpusloom.operators import topics
+
+    words = {0: "court verdict witness appeal", 1: "penalty goalkeeper league podium", 2: "garlic onion skillet broth"}
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(words[i % 3].split()) for _ in range(12))) for i in range(60)] + [(100, ""), (101, None)]
+    docs = topics.prepared(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id")
+    vectors = topics.features(docs, word_dims=512, piece_dims=256).select("doc_id", "bytes", "features").cache()
+    model = topics.fit(vectors, "doc_id", k=3, seed=2)
+    got = topics.assign(vectors, model)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert set(rows) == set(range(60))
+    assert {r["doc_id"]: r["prediction"] for r in model.setPredictionCol("prediction").transform(vectors).collect()} == {i: r["cluster"] for i, r in rows.items()}
+    for r in vectors.collect():
+        centre = model.clusterCenters()[rows[r["doc_id"]]["cluster"]]
+        assert abs(rows[r["doc_id"]]["distance"] - float(((r["features"].toArray() - centre) ** 2).sum() ** 0.5)) < 1e-3
+    report = {r["cluster"]: r for r in topics.quality(got, "doc_id", 3).collect()}
+    assert report[None]["n_docs"] == 60 and report[None]["ok"] == (len(report) == 4)
+    plan = topics.partition_plan(got.groupBy("cluster").agg(F.count("*").alias("n_docs"), F.sum("bytes").alias("bytes")), 8)
+    assert plan.agg(F.sum("share")).first()[0] == 8
+    placed = topics.physical_partition(got, plan, "doc_id")
+    assert placed.count() == 60 and placed.agg(F.max("physical_partition")).first()[0] < 8
+    with pytest.raises(ValueError):
+        topics.fit(vectors, "doc_id", k=100)

@@ -91,7 +91,8 @@ def json_path(spark, folder):
     return lines.select("record_no", explore.path(F.col("v"), "tools[0].function.name").alias("tool"))
 
 
-@query("select record_no, ordinal from (select record_no, row_number() over (order by record_no) - 1 as ordinal from full_records) where ordinal >= 50 and ordinal < 100")
+@query("""with r as (select record_no, row_number() over (order by record_no) - 1 as ordinal, least(2, greatest(1, ceil(count(*) over () / 50.0))) - 1 as page from full_records)
+select record_no, ordinal from r where ordinal >= page * 50 and ordinal < (page + 1) * 50""")
 def page_two(spark, folder):
     return explore.page(ordinal_by_key(records(spark, folder).select("record_no"), "record_no"), "ordinal", 2)
 

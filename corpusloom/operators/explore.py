@@ -37,6 +37,13 @@ def summary(df: DataFrame, ordinal: str) -> DataFrame:
     )
 
 
+def reasons(df: DataFrame) -> Column:
+    """Whether a record has reasoning; false where the messages have no such field."""
+    kind = df.schema["messages"].dataType
+    known = isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType) and "reasoning_content" in kind.elementType.names
+    return has_reasoning(F.col("messages")) if known else F.lit(False)
+
+
 def has_reasoning(messages: Column) -> Column:
     return F.coalesce(F.exists(messages, lambda m: F.coalesce(m["reasoning_content"], F.lit("")) != ""), F.lit(False))
 
@@ -44,7 +51,7 @@ def has_reasoning(messages: Column) -> Column:
 def list_records(df: DataFrame, has_tools: bool = False, reasoning: bool = False, min_messages: int | None = None, limit: int | None = None) -> DataFrame:
     """Records with tools, with reasoning and with so many messages; the limit comes after the filters."""
     out = df.where(count_of(F.col("tools")) > 0) if has_tools else df
-    out = out.where(has_reasoning(F.col("messages"))) if reasoning else out
+    out = out.where(reasons(df)) if reasoning else out
     out = out.where(count_of(F.col("messages")) >= min_messages) if min_messages is not None else out
     return out.limit(limit) if limit is not None else out
 
@@ -88,7 +95,7 @@ def statistics(df: DataFrame) -> DataFrame:
     m, t = count_of(F.col("messages")), count_of(F.col("tools"))
     return df.agg(
         F.count("*").alias("records"), F.sum(m).alias("messages"), F.sum(t).alias("tools"), F.round(F.avg(m), 6).alias("messages_a_record"),
-        F.count_if(t > 0).alias("with_tools"), F.count_if(has_reasoning(F.col("messages"))).alias("with_reasoning"),
+        F.count_if(t > 0).alias("with_tools"), F.count_if(reasons(df)).alias("with_reasoning"),
     )
 
 

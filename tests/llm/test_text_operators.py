@@ -242,6 +242,14 @@ def test_copies_are_linked_to_one_of_them(spark):
     assert similar.similar_groups(df.where("false")).count() == 0
 
 
+def test_words_of_one_record_alone_hide_nothing(spark):
+    rows, _ = planted(7, 10)
+    shared = " ".join(f"shared{i}x" for i in range(10))
+    rows += [(f"z{k}", shared + " " + " ".join(f"alone{k}y{i}" for i in range(14))) for k in range(3)]
+    pairs = {(r["id_a"], r["id_b"]) for r in similar.similar_pairs(similar.similar_groups(spark.createDataFrame(rows, "id string, text string"))).collect()}
+    assert {("z0", "z1"), ("z0", "z2"), ("z1", "z2")} <= pairs
+
+
 def test_bisecting_separates_what_shares_nothing():
     import numpy as np
 

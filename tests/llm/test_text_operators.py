@@ -250,6 +250,26 @@ def test_words_of_one_record_alone_hide_nothing(spark):
     assert {("z0", "z1"), ("z0", "z2"), ("z1", "z2")} <= pairs
 
 
+def test_a_node_that_nothing_divides_is_compared_whole(spark):
+    rows, _ = planted(8, 6)
+    for m in "uv":  # two matters of near copies, each with the same eight rarest words
+        rows += [(f"{m}{k:02d}", " ".join(f"{m}word{i}x" for i in range(12)) + f" {m}word1x" * (k + 1)) for k in range(40)]
+    groups = similar.similar_groups(spark.createDataFrame(rows, "id string, text string"), node_rows=12, block_rows=7)
+    got = groups.collect()
+    pairs = {(r["id_a"], r["id_b"]) for r in similar.similar_pairs(groups).collect()}
+    for m in "uv":
+        assert {(f"{m}{a:02d}", f"{m}{b:02d}") for a, b in itertools.combinations(range(40), 2)} <= pairs
+    assert not {r["leaf"] for r in got if r["id"][0] == "u"} & {r["leaf"] for r in got if r["id"][0] == "v"}
+    assert all(r["leaf_rows"] == 40 and 0.5 < r["nearness"] <= 1.001 for r in got if r["id"][0] in "uv")
+
+
+def test_splits_of_the_cluster_lose_no_link(spark):
+    rows, _ = planted(5)
+    df = spark.createDataFrame(rows, "id string, text string")
+    one, many = ({(r["id_a"], r["id_b"]) for r in similar.similar_pairs(similar.similar_groups(df, node_rows=n)).collect()} for n in (100_000, 10))
+    assert len(one & many) >= 0.99 * len(one)
+
+
 def test_bisecting_separates_what_shares_nothing():
     import numpy as np
 

@@ -242,6 +242,13 @@ def test_copies_are_linked_to_one_of_them(spark):
     assert similar.similar_groups(df.where("false")).count() == 0
 
 
+def test_copies_count_in_the_size_of_a_group(spark):
+    shape = "id string, leaf string, leaf_rows int, nearness double, partners array<string>, copy_of string"
+    groups = [("a", "x", 2, 0.9, ["b"], None), ("b", "x", 2, 0.8, [], None), ("c", None, None, None, None, "b"), ("d", "y", 1, 1.0, [], None), ("e", None, None, None, None, "d"), ("f", "z", 1, 1.0, [], None)]
+    report = {r["leaf"]: (r["records"], r["typical"]) for r in similar.group_report(spark.createDataFrame(groups, shape)).collect()}
+    assert report == {"x": (3, ["a", "b"]), "y": (2, ["d"])}
+
+
 def test_words_of_one_record_alone_hide_nothing(spark):
     rows, _ = planted(7, 10)
     shared = " ".join(f"shared{i}x" for i in range(10))

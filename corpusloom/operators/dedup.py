@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,12 @@ from pyspark.sql import functions as F
 from ..functions.text import normal_text, text_hash
 from ..session import drop, stored
 
-#: Words of a shingle, bands, hashes of a band, and the similarity that near duplicates have at least.
-WORDS, BANDS, BAND_ROWS, SIMILAR = 5, 14, 8, 0.8
+#: Words of a shingle, and the similarity that near duplicates have at least.
+WORDS, SIMILAR = 5, 0.8
+#: Entries of the frequency table, as a power of two, and about how many rows it is counted on; both only move cost, not results.
+TABLE_BITS, TABLE_ROWS = 20, 20_000
+#: Rows of a bucket up to which its pairs are listed, and rows of a block of a larger one.
+LISTED, BLOCK_ROWS = 32, 3_000
 
 
 def exact_report(df: DataFrame, text: Column) -> DataFrame:
@@ -40,12 +45,6 @@ def first_rows(df: DataFrame, row: str, text: Column, keep: list[Column]) -> Dat
     return kept.groupBy("h").agg(F.min("r").alias("r")).select("r.*")
 
 
-def _constants() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20_240_101)
-    n = BANDS * BAND_ROWS
-    return rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
-
-
 def with_shingles(df: DataFrame, text: str, into: str = "shingles", words: int = WORDS) -> DataFrame:
     """Adds the distinct 64-bit hashes of runs of five words of a normalised text, in lower case; a shorter text is one run.
 
@@ -57,43 +56,108 @@ def with_shingles(df: DataFrame, text: str, into: str = "shingles", words: int =
     return df.withColumn("__words", split).withColumn(into, F.array_distinct(runs)).drop("__words")
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b = _constants()
-    for batch in batches:
-        keys = []
-        for shingles in batch.column("shingles"):
-            h = np.asarray(shingles.values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
-            low = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-            for i in range(0, len(h), 4096):  # whole texts, a block at a time
-                x = h[i : i + 4096, None] * a + b
-                np.minimum(low, (x ^ (x >> np.uint64(31))).min(0), out=low)
-            out = np.zeros(BANDS, np.uint64)
-            for r in range(BAND_ROWS):
-                out = (out ^ low.reshape(BANDS, BAND_ROWS)[:, r]) * np.uint64(0x9E3779B97F4A7C15)
-            keys.append(out.view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([k.tolist() for k in keys], pa.list_(pa.int64()))], ["row", "bands"])
+def _places(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << TABLE_BITS, np.int64)
+    for b in batches:
+        counts += np.bincount(_places(b.column("shingles").flatten().to_numpy(zero_copy_only=False)), minlength=len(counts))
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["place", "n"])
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur in a sample of the rows, in a table of fixed size."""
+    share = max(1, sets.count() // TABLE_ROWS)
+    sample = sets.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0).select("shingles")
+    got = sample.mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << TABLE_BITS, np.uint16)
+    table[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), 65_535)
+    return table
+
+
+def _prefixes(table, similar: float):
+    """Row, number of shingles, and each shingle of the prefix: two sets as similar as that share one of their rarest
+    n - ceil(similar * n) + 1 shingles, in any order that is the same for all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.frombuffer(table.value, np.uint16)
+        for b in batches:
+            shingles = b.column("shingles")
+            flat = shingles.flatten().to_numpy(zero_copy_only=False)
+            n = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            doc = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, often[_places(flat)], doc))
+            prefix = n - np.ceil(similar * n - 1e-9).astype(np.int64) + 1
+            order = order[np.arange(len(order)) - (np.cumsum(n) - n)[doc] < prefix[doc]]
+            of = doc[order]
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(of)), pa.array(n[of].astype(np.int32)), pa.array(flat[order])], ["row", "size", "key"])
+
+    return run
+
+
+def _linker(similar: float):
+    """Links (a, b) that connect all rows of a bucket, or of two of its blocks, that chains of similar pairs connect."""
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf["row"].to_numpy()
+        size = np.array([len(x) for x in pdf["shingles"]])
+        _, flat = np.unique(np.concatenate(pdf["shingles"].to_list()), return_inverse=True)
+        starts = np.cumsum(size) - size
+        sets = np.split(flat, starts[1:])
+        left, has = np.ones(len(rows), bool), np.zeros(int(flat.max()) + 1, np.int64)
+        a, b = [], []
+        for first in range(len(rows)):
+            todo = [first] if left[first] else []
+            left[first] = False
+            while todo and left.any():  # each row meets all that nothing is linked to yet
+                x = todo.pop()
+                rest = np.flatnonzero(left)
+                has[sets[x]] = 1
+                shared = np.add.reduceat(has[np.concatenate([sets[i] for i in rest])], np.cumsum(size[rest]) - size[rest])
+                has[sets[x]] = 0
+                hit = rest[shared >= similar * (size[x] + size[rest] - shared)]
+                left[hit] = False
+                todo += hit.tolist()
+                a += [rows[x]] * len(hit)
+                b += rows[hit].tolist()
+        return pd.DataFrame({"a": a, "b": b})
+
+    return link
 
 
 def near_duplicates(df: DataFrame, row: str, text: str, similar: float = SIMILAR) -> DataFrame:
     """(row, class_id, keep): near duplicates share the smallest row id of their class; keep is true for that row.
 
-    Exact copies are one row from the start.  MinHash bands of five-word shingles find candidates: each
-    row is compared with the smallest row of each of its buckets, never all with all, and linked where
-    the Jaccard similarity of the whole shingle sets is `similar` or more.  Classes are the connected
-    components.  Null and empty texts are one class.  row must be unique and castable to string order."""
+    Exact copies are one row from the start.  Rows whose sets of five-word shingles have a Jaccard similarity
+    of `similar` or more share a shingle of their prefixes, so comparing all rows of each such bucket misses
+    no link.  Pairs of small buckets are listed, each once; large buckets are connected block by block.  Classes are the
+    connected components.  Null and empty texts are one class.  row must be unique and castable to string order."""
     base = df.select(F.col(row).alias("row"), normal_text(F.col(text)).alias("text"))
     copies = exact_classes(base, "row", F.col("text"))
     lead = base.join(copies.where("row = keep").select("row"), "row", "left_semi")
     sets = stored(with_shingles(lead, "text").select("row", "shingles"), "shingles")
-    bands = sets.mapInArrow(_bands, f"row {dict(base.dtypes)['row']}, bands array<bigint>").select("row", F.posexplode("bands").alias("band", "key"))
-    buckets = bands.groupBy("band", "key").agg(F.min("row").alias("lead"))
-    stars = bands.join(buckets, ["band", "key"]).where("row <> lead").select("row", "lead").distinct()
+    kind = dict(base.dtypes)["row"]
+    table = sets.sparkSession.sparkContext.broadcast(_frequencies(sets).tobytes())
+    prefixes = stored(sets.mapInArrow(_prefixes(table, similar), f"row {kind}, size int, key bigint"), "prefixes")
+    several = prefixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(prefixes.join(several, "key"), "buckets")
+    listed = members.where(F.col("n") <= LISTED).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("row", "size"))).alias("m")).select("m").distinct()
+    each = listed.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y")).where("x.row < y.row")
+    stars = each.where(F.least("x.size", "y.size") >= similar * F.greatest("x.size", "y.size") - 1e-9).select(F.col("x.row").alias("lead"), F.col("y.row").alias("row")).distinct()
     left = stars.join(sets, "row").select("row", "lead", F.col("shingles").alias("s"))
     both = left.join(sets.select(F.col("row").alias("lead"), F.col("shingles").alias("t")), "lead")
+    large = members.where(F.col("n") > LISTED).withColumn("parts", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    meeting = large.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "row", F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j")).join(sets, "row")
+    chained = meeting.groupBy("key", "i", "j").applyInPandas(_linker(similar), f"a {kind}, b {kind}")
     shared = F.size(F.array_intersect("s", "t"))
-    links = stored(both.where(shared >= similar * (F.size("s") + F.size("t") - shared)).select(F.col("row").alias("a"), F.col("lead").alias("b")), "links")
+    direct = both.where(shared >= similar * (F.size("s") + F.size("t") - shared)).select(F.col("row").alias("a"), F.col("lead").alias("b"))
+    links = stored(direct.unionByName(chained), "links")
     classes = components(links)
-    drop(sets)
+    for done in (sets, prefixes, members):
+        drop(done)
     named = copies.join(classes.select(F.col("node").alias("keep"), "component"), "keep", "left").select("row", F.coalesce("component", "keep").alias("class_id"))
     return named.select(F.col("row").alias(row), "class_id", (F.col("row") == F.col("class_id")).alias("keep"))
 

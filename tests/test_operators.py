@@ -83,6 +83,28 @@ def test_near_duplicates_against_all_pairs(spark):
     assert dedup.near_duplicates(spark.createDataFrame([], "id long, text string"), "id", "text").count() == 0
 
 
+@pytest.mark.parametrize("listed, block", [(32, 3000), (2, 5)])
+def test_near_duplicates_lose_no_link(spark, monkeypatch, listed, block):
+    monkeypatch.setattr(dedup, "LISTED", listed)
+    monkeypatch.setattr(dedup, "BLOCK_ROWS", block)
+    rng = random.Random(4)
+    texts = []
+    for g in range(12):  # rows that share most of a page, at similarities on both sides of 0.8
+        base = [f"g{g}w{rng.randrange(500)}" for _ in range(100)]
+        for _ in range(10):
+            copy = list(base)
+            for _ in range(rng.choice((1, 2, 2, 3))):
+                copy[rng.randrange(100)] = f"c{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    got = {r["id"]: r["class_id"] for r in dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text").collect()}
+    lead = list(range(len(texts)))
+    for _ in texts:
+        for i, j in itertools.combinations(range(len(texts)), 2):
+            if i // 10 == j // 10 and lead[i] != lead[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                lead[i] = lead[j] = min(lead[i], lead[j])
+    assert got == dict(enumerate(lead)) and len(set(lead)) > 12
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     hub = [(1, i) for i in range(2, 40)]

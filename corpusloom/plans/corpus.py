@@ -22,8 +22,6 @@ ORACLES: dict[str, str] = {}
 TOKENIZER, EOS = "/opt/tokenizers/byte_bpe_50k.json", 50256
 #: Length bins small enough that the test texts fall into all of them, counted in words.
 BINS = (50, 150, 400)
-#: Dimensions and number of topic clusters of the query; the operator's own defaults are larger.
-TOPIC_DIMS, TOPICS = (1024, 512), 16
 
 
 def query(sql: str | None = None):
@@ -270,22 +268,27 @@ def eval_filter(spark, folder):
     return filters.reason_counts(rollouts, filters.trajectory_reason(rollouts, exclude_errors=True, min_turns=10, max_turns=80))
 
 
-def _assigned(spark, folder) -> DataFrame:
+def _assigned(spark, folder) -> tuple[DataFrame, int]:
+    """Documents with their clusters, under the operator's own settings, and the number of clusters.
+
+    Only a table with fewer than twice as many different texts as clusters has fewer, half as many as texts: k-means || finds no more starts."""
     docs = topics.prepared(documents(spark, folder), "doc_id")
-    vectors = stored(topics.features(docs, word_dims=TOPIC_DIMS[0], piece_dims=TOPIC_DIMS[1]).select("doc_id", "bytes", "features"), "vectors")
-    return topics.assign(vectors, topics.fit(vectors, "doc_id", k=TOPICS)).select("doc_id", "bytes", "cluster", F.round("distance", 6).alias("distance"))
+    vectors = stored(topics.features(docs).select("doc_id", "bytes", "features"), "vectors")
+    k = max(2, min(topics.CLUSTERS, docs.select("text").distinct().count() // 2))
+    return topics.assign(vectors, topics.fit(vectors, "doc_id", k=k)).select("doc_id", "bytes", "cluster", F.round("distance", 6).alias("distance")), k
 
 
 @query()
 def topic_clusters(spark, folder):
     """Cluster and distance of each document."""
-    return _assigned(spark, folder).drop("bytes")
+    return _assigned(spark, folder)[0].drop("bytes")
 
 
 @query()
 def topic_quality(spark, folder):
     """Sizes, shares and distance percentiles of the clusters, and whether they pass the gate."""
-    return topics.quality(stored(_assigned(spark, folder), "assigned"), "doc_id", TOPICS)
+    assigned, k = _assigned(spark, folder)
+    return topics.quality(stored(assigned, "assigned"), "doc_id", k)
 
 
 @query()

@@ -32,6 +32,18 @@ def test_entry(spark, data):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
+def test_topics_run_with_the_settings_of_the_operator(spark, data, monkeypatch):
+    from corpusloom.operators import topics
+
+    seen = {}
+    features, fit = topics.features, topics.fit
+    monkeypatch.setattr(topics, "features", lambda df, *a, **k: seen.update(features=(a, k)) or features(df, word_dims=512, piece_dims=256))
+    monkeypatch.setattr(topics, "fit", lambda df, row, **k: seen.update(k=k["k"]) or fit(df, row, **k))
+    monkeypatch.setattr(topics, "CLUSTERS", 20)
+    assert catalog.QUERIES["topic_clusters"](spark, data).count() > 0
+    assert seen == {"features": ((), {}), "k": 20}
+
+
 def test_nothing_of_the_core_imports_llm():
     import os
     import re

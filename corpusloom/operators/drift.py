@@ -317,6 +317,12 @@ def common_names(changes: DataFrame, uses: dict[str, int]) -> dict[str, str]:
     return {x: max(g, key=lambda p: (uses.get(p, 0), p)) for g in groups.values() for x in g}
 
 
+def column_of(path: str, paths: dict[str, int]) -> str:
+    """The column of a list member's field; tools.function.x keeps `function` where tools.x is another field."""
+    holder, key = path.split(".", 1)[0], path.rsplit(".", 1)[-1]
+    return path.split(".", 1)[1] if path != f"{holder}.{key}" and f"{holder}.{key}" in paths else key
+
+
 def _unifier(names: dict[str, str], types: dict[str, int]):
     """Lines -> records under common names: scalars cast to the field's one type, everything else as JSON text."""
 
@@ -341,11 +347,11 @@ def _unifier(names: dict[str, str], types: dict[str, int]):
                 out[path] = cast(path, value) if out.get(path) is None else out[path]
                 continue
             members = []
-            for member in value if isinstance(value, list) else []:
+            for member in value if isinstance(value, list) else [value] if isinstance(value, dict) else []:
                 flat = {}
                 for path, v in fields_of({name: [member]}):
                     path = names.get(path, path)
-                    key = path.rsplit(".", 1)[-1]
+                    key = column_of(path, types)
                     flat[key] = cast(path, v) if flat.get(key) is None else flat[key]
                 members.append(flat)
             out[name] = members
@@ -367,7 +373,8 @@ def unified_records(lines: DataFrame) -> DataFrame:
     field; `messages` and `tools` are arrays of structs.  A field that was a number in every file is
     a double, a boolean a boolean, anything else a string (JSON text where it wasn't one).  A line
     delivered several times (same table, file and line) counts once, as it arrived last; ties go to
-    the larger record_no.  Lines that aren't JSON objects are left out.
+    the larger record_no; a line without line_no is known by its record_no.  `messages` or `tools` given as one
+    object is a list of it.  Lines that aren't JSON objects are left out.
     """
     own = stored(profiles(lines), "profiles")
     changes = _changes(own)
@@ -382,14 +389,14 @@ def unified_records(lines: DataFrame) -> DataFrame:
     for path, mask in sorted(types.items()):
         holder = path.split(".", 1)[0]
         if "." in path and holder in CONTAINERS:
-            key = path.rsplit(".", 1)[-1]
+            key = column_of(path, types)
             inner[holder][key] = inner[holder].get(key, 0) | mask
         else:
             top[path] = mask
     quoted = lambda fields: ", ".join(f"`{n.replace('`', '``')}`: {spark_type(m)}" for n, m in fields.items())
     shape = ", ".join([quoted(top)] * bool(top) + [f"{c}: array<struct<{quoted(inner[c])}>>" for c in CONTAINERS if inner[c]])
     keep = ["table_name", "feed", "file_path", "line_no", "record_no", "body"]
-    last = lines.groupBy("table_name", "feed", "file_path", "line_no").agg(F.max_by(F.struct("record_no", "body"), F.struct("arrived_at", "record_no")).alias("r"))
+    last = lines.groupBy("table_name", "feed", "file_path", "line_no", F.when(F.col("line_no").isNull(), F.col("record_no")).alias("unnumbered")).agg(F.max_by(F.struct("record_no", "body"), F.struct("arrived_at", "record_no")).alias("r"))
     flat = last.select("table_name", "feed", "file_path", "line_no", "r.record_no", "r.body").select(*keep)
     done = flat.mapInArrow(_unifier(names, types), flat.schema).where("body is not null")
     return done.select(*keep[:-1], F.from_json("body", f"struct<{shape}>").alias("record"))

@@ -73,6 +73,17 @@ def test_unified_records(spark):
         assert r["record"]["tools"][0]["name"] == "water_level"
 
 
+def test_unified_records_lose_no_content(spark):
+    one = record(messages={"role": "user", "content": "What is it?"})
+    one["tools"] = [{"name": "outer", "function": {"name": "inner"}}]
+    rows = [("t", "f", "f/0", "2024-01-01", None, json.dumps(one)), ("t", "f", "f/0", "2024-01-01", None, json.dumps(one))]
+    got = drift.unified_records(lines(spark, rows)).collect()
+    assert len(got) == 2
+    for r in got:
+        assert [m["content"] for m in r["record"]["messages"]] == ["What is it?"]
+        assert r["record"]["tools"][0].asDict() == {"name": "outer", "function.name": "inner"}
+
+
 def test_flooding_prefers_the_same_content(spark):
     s = lambda *v: (1, sum((sketch(x) for x in v)))
 

@@ -164,6 +164,16 @@ def test_blank_refused_and_copied():
         assert not defects.is_copy(q, a), a
 
 
+def test_short_copies_and_long_quotes():
+    for q, a in (("Why is it?", "why is it?"), ("Was ist das?", "Was ist das?"), ("How do I fix this bug?", "Your question was: How do I fix this bug?"), ("Why so?", "Why so?")):
+        assert defects.is_copy(q, a), a
+    for q, a in (("Is it the barn?", "It is the barn."), ("Why so?", "Why so: because the barn fell down.")):
+        assert not defects.is_copy(q, a), a
+    q = "What is known about " + "the barn and the orchard and " * 20 + "the well?"
+    assert defects.is_refusal(f"I'm sorry, but I can't answer the question {q}", q)
+    assert not defects.is_refusal("I can't help but say that " * 40, q)
+
+
 def test_very_long_answers():
     long = "I can't help but say that " * 40_000
     assert not defects.is_refusal(long) and not defects.is_copy("What is it?", long) and not defects.is_blank(long)

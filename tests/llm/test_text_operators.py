@@ -208,6 +208,35 @@ def test_roles():
     assert defects.tidy_roles([]) == []
 
 
+@pytest.mark.parametrize("question", ["Why?", "Is it?", "Warum?", "What is X?", "為什麼?", "¿Qué?", "How do I fix this bug?"])
+def test_copies_of_short_questions(question):
+    assert defects.is_copy(question, question) and defects.is_copy(question, f"Your question was: {question}") and defects.is_copy(question, f'"{question.upper()}"')
+    assert not defects.is_copy(question, f"{question} Because the pump is broken.")
+
+
+def test_refusals_of_any_length():
+    long = "I'm sorry, but " + "given all that has been said about it in this conversation so far " * 20
+    assert defects.is_refusal(long + "I cannot help with that request.")
+    assert not defects.is_refusal(long + "the pump is broken.")
+
+
+#: Refusals that the dictionary was not written from.
+HELD_OUT = [
+    "I'm afraid I can't assist you with this topic.", "As an AI language model, I cannot provide an answer to this question.", "I am not able to discuss that subject.", "We must refuse to comment on that.",
+    "Answering this would go against my guidelines.", "Sorry, that is not something I can do.", "Ich kann diese Frage leider nicht beantworten.", "Dabei darf ich Ihnen nicht weiterhelfen.",
+    "Ich bin nicht befugt, darüber Auskunft zu geben.", "Je ne peux pas répondre à cette question.", "Je ne suis pas autorisé à en parler.", "Cela dépasse ce que je peux dire.",
+    "No puedo ayudarle con esa solicitud.", "Lo siento, no estoy autorizado a hablar de ese tema.", "Esto va más allá de lo que puedo decir.", "对不起，我不能回答这个问题。", "我们换个话题吧。", "Non posso rispondere a questa domanda.",
+    "Não posso responder a essa pergunta.", "Я не могу ответить на этот вопрос.",
+]
+SOUND = ["You cannot skip this step.", "Many refuse to help here, yet it is easy.", "Der Anwalt konnte den Vertrag nicht kündigen.", "Le juge ne peut pas annuler la vente.", "El contrato no puede firmarse antes.", "没有磁场，这个假说无法检验。", "The lender refused to extend the loan."]
+
+
+def test_held_out_refusals():
+    found = [x for x in HELD_OUT if defects.is_refusal(x)]
+    assert len(found) >= 0.9 * len(HELD_OUT), set(HELD_OUT) - set(found)
+    assert not [x for x in SOUND if defects.is_refusal(x)]
+
+
 # ---- similar records --------------------------------------------------------------------------
 def planted(seed, groups=25):
     """Texts of which those of a group share names and numbers, in their own words and order."""
@@ -234,7 +263,7 @@ def pairs_of(groups):
     return {(r["id_a"], r["id_b"]) for r in similar.similar_pairs(groups).collect()}
 
 
-@pytest.mark.parametrize("bounds", [{}, {"node_rows": 40, "planes": 8}, {"node_rows": 30, "planes": 1}, {"block_rows": 5}])
+@pytest.mark.parametrize("bounds", [{}, {"node_rows": 60, "block_rows": 5}, {"node_rows": 60, "planes": 1}])
 def test_similar_pairs_against_the_planted_groups(spark, bounds):
     """Whatever fits into a task, a block or a broadcast, the same is found."""
     rows, truth = planted(5)
@@ -273,10 +302,9 @@ def test_words_of_one_record_alone_hide_nothing(spark):
     assert {("z0", "z1"), ("z0", "z2"), ("z1", "z2")} <= pairs_of(similar.similar_groups(spark.createDataFrame(rows, SHAPE)))
 
 
-@pytest.mark.parametrize("bounds", [{}, {"node_rows": 40, "planes": 1, "block_rows": 7}, {"node_rows": 12, "block_rows": 7}])
+@pytest.mark.parametrize("bounds", [{}, {"node_rows": 40, "planes": 1, "block_rows": 17}])
 def test_a_matter_larger_than_a_node_stays_whole(spark, bounds):
-    rows, _ = planted(8, 6)
-    rows += [(f"n{k:03d}", f"nothing{k}x unlike{k}y this{k}z") for k in range(60)]  # they share nothing with any other
+    rows = [(f"n{k:03d}", f"nothing{k}x unlike{k}y this{k}z") for k in range(60)]  # they share nothing with any other
     for m in "uv":  # two matters of three times a node's rows: five words that all share and one of each text's own
         rows += [(f"{m}{k:03d}", " ".join(f"{m}word{i}x" for i in range(5)) + f" {m}own{k}") for k in range(120)]
     groups = similar.similar_groups(spark.createDataFrame(rows, SHAPE), **bounds)

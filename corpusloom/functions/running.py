@@ -7,13 +7,25 @@ matching by rank."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets a group is dealt over; a group of a third of all rows becomes so many parts.
+#: Buckets a group is dealt over at least.
 BUCKETS = 256
 
 
+#: Rows of a bucket, were all rows in one group.
+BUCKET_ROWS = 100_000
+
+
+def buckets_for(df: DataFrame) -> int:
+    """Buckets that hold BUCKET_ROWS rows at most, but for chance.  Counts df: give it a stored table."""
+    return max(BUCKETS, -(-df.count() // BUCKET_ROWS))
+
+
 def running_sum(df: DataFrame, groups: list[str], row: str, value: Column, into: str, buckets: int = BUCKETS) -> DataFrame:
     """Adds `into`: the sum of value over the rows of the group before this one (0 for the first).
 
@@ -36,14 +48,17 @@ def rank_in_group(df: DataFrame, groups: list[str], row: str, into: str, buckets
     return running_sum(df, groups, row, F.lit(1), into, buckets)
 
 
-def ordinal_by_key(df: DataFrame, key: str, into: str = "ordinal", width: int = 10_000) -> DataFrame:
+def ordinal_by_key(df: DataFrame, key: str, into: str = "ordinal", parts: int = 1024) -> DataFrame:
     """Adds `into`: the position, from 0, in the order of a whole-number key that is unique.
 
-    Rows are ranked within ranges of the key of this width; the ranges' counts, one row each, give the
-    offsets.  Null keys come first."""
-    held = df.withColumn("__b", F.floor(F.col(key) / width))
+    Rows are ranked within ranges that hold about the same number of rows, whatever the keys are: dense, sparse or
+    hashed; the ranges' counts, one row each, give the offsets.  Null keys come first."""
+    found = df.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10 * parts).alias("e")).first()["e"] or []
+    edges = [-math.inf, *sorted({float(e) for e in found}), math.inf]
+    binned = Bucketizer(splits=edges, inputCol="__k", outputCol="__k2").transform(df.withColumn("__k", F.coalesce(F.col(key).cast("double"), F.lit(0.0)))) if len(edges) > 2 else df.withColumn("__k", F.lit(0.0)).withColumn("__k2", F.lit(0.0))
+    held = binned.withColumn("__b", F.when(F.col(key).isNull(), -1).otherwise(F.col("__k2").cast("int"))).drop("__k", "__k2")
     counts = held.groupBy("__b").agg(F.count("*").alias("__n"))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__o"))
     within = Window.partitionBy("__b").orderBy(key)
-    return held.withColumn("__r", F.row_number().over(within) - 1).join(offsets, F.col("__b").eqNullSafe(F.col("__ob"))).withColumn(into, F.col("__r") + F.col("__o")).drop("__b", "__r", "__ob", "__o")
+    return held.withColumn("__r", F.row_number().over(within) - 1).join(offsets, F.col("__b") == F.col("__ob")).withColumn(into, F.col("__r") + F.col("__o")).drop("__b", "__r", "__ob", "__o")

@@ -63,7 +63,7 @@ def as_unsigned(h16: Column) -> Column:
 
 def scrub_line(line: Column) -> Column:
     """A raw line without control characters: runs of NUL become a space, the others but tab and line ends go."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, r"\x00+", " "), r"[\x01-\x08\x0b\x0c\x0e-\x1f]", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(line, r"\x00+", " "), r"[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]", ""))
 
 
 def conversation_text(turns: Column) -> Column:

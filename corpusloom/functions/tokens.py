@@ -80,3 +80,8 @@ def tokenize(df: DataFrame, make_encoder: Callable[[], Callable[[list[str]], lis
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())], [*part.schema.names, "input_ids", "token_count"])
 
     return base.mapInArrow(run, schema)
+
+
+def counts(df: DataFrame, by: str, tokens: str = "token_count") -> DataFrame:
+    """records, tokens and tokens a record, by a column; 0 tokens a record where there are none."""
+    return df.groupBy(by).agg(F.count("*").alias("records"), F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens"), F.coalesce(F.round(F.avg(F.coalesce(tokens, F.lit(0))), 6), F.lit(0.0)).alias("tokens_a_record"))

@@ -1,10 +1,10 @@
 """Mixing sources to target shares of the total size, by systematic sampling.
 
-Every document of a source has the same expected number of copies: what the target asks for,
-divided by what the source has, and no more than the source's cap.  The expected copies are summed
-up in a fixed order within the source, one random offset is added, and a copy is emitted at each
-whole number the sum passes.  So a source's number of copies is exact to within one, however the
-documents are spread."""
+Every document of a source has the same expected number of copies, its rate: what the target asks for,
+divided by what the source has, and no more than the source's cap.  In a fixed order within the
+source, the expected copies before a document are its rank times the rate; one random offset is added,
+and a copy is emitted at each whole number the sum passes.  So a source's number of copies is exact to
+within one, however the documents are spread and however small the rate."""
 
 from __future__ import annotations
 
@@ -13,11 +13,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import running_sum
-
-#: Expected copies are summed as whole numbers of this part of a copy, so that no rounding adds up.
-UNIT = 1_000_000
-
+from ..functions.running import buckets_for, rank_in_group
 
 def source_name(c: Column) -> Column:
     """A source in the targets' spelling: lower case, underscores for blanks and hyphens; null where nothing is named."""
@@ -36,13 +32,8 @@ def sizes(documents: DataFrame, targets: DataFrame) -> DataFrame:
     return joined.join(F.broadcast(total), F.lit(True))  # one row
 
 
-def falling_short(sized: DataFrame) -> DataFrame:
-    """(source): sources whose tokens, times max_repeats, are less than their share of the whole table's tokens; spelt as in the targets."""
-    return sized.where(F.col("has_tokens") * F.col("max_repeats") < F.col("target_share") * F.col("total")).select(F.col("spelt").alias("source"))
-
-
-def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, budget: int | None = None) -> DataFrame:
-    """doc_id, source, tokens and copies (1 or more) of each chosen document.
+def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, budget: int | None = None, rows: bool = False) -> DataFrame:
+    """doc_id, source, tokens and copies (1 or more) of each chosen document; with rows, a row (and its `copy`, from 1) for each copy.
 
     documents: doc_id, source, tokens; sources are matched in the targets' spelling.  The budget is
     the size of the mixture in tokens, by default that of the whole table.  A source that falls short
@@ -52,21 +43,30 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, budget: int | N
     docs = documents.select("doc_id", source_name(F.col("source")).alias("source"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
     size = sizes(docs, targets)
     asked = F.col("target_share") * (F.lit(budget) if budget is not None else F.col("total"))
-    rate = F.least(F.col("max_repeats").cast("double"), F.when(F.col("has_tokens") > 0, asked / F.col("has_tokens")).otherwise(0.0))
-    rates = size.select(F.col("name").alias("source"), F.round(F.greatest(rate, F.lit(0.0)) * UNIT).cast("long").alias("rate"))
-    offset = F.pmod(F.xxhash64(F.lit(zlib.crc32(f"mix {seed}".encode())), F.col("source")), F.lit(UNIT))
+    cap = F.greatest(F.col("max_repeats").cast("double"), F.lit(0.0))
+    rate = F.when(F.col("has_tokens") > 0, F.least(cap, asked / F.col("has_tokens"))).otherwise(cap)
+    rates = size.select(F.col("name").alias("source"), F.greatest(rate, F.lit(0.0)).alias("rate"))
+    draw = F.pmod(F.xxhash64(F.lit(zlib.crc32(f"mix {seed}".encode())), F.col("source")), F.lit(1 << 30)) / (1 << 30)
     rated = docs.join(F.broadcast(rates), "source")  # one row for each named source
-    summed = running_sum(rated, ["source"], "doc_id", F.col("rate"), "before").withColumn("offset", offset)
-    passed = F.floor((F.col("before") + F.col("rate") + F.col("offset")) / UNIT) - F.floor((F.col("before") + F.col("offset")) / UNIT)
-    return summed.select("doc_id", "source", "tokens", passed.cast("int").alias("copies")).where("copies > 0")
+    ranked = rank_in_group(rated, ["source"], "doc_id", "rank", buckets_for(documents))
+    upto = lambda r: F.floor(r * F.col("rate") + F.col("offset"))
+    passed = upto(F.col("rank") + 1) - upto(F.col("rank"))
+    chosen = ranked.withColumn("offset", draw).select("doc_id", "source", "tokens", passed.cast("int").alias("copies")).where("copies > 0")
+    if not rows:
+        return chosen
+    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
 
 
 def shares(mixed: DataFrame, sized: DataFrame) -> DataFrame:
-    """Each source's target and actual share, tokens, copies and whether it falls short."""
+    """Each source's target and actual share, tokens, copies and whether it falls short.
+
+    A source falls short if the mixture has all its documents max_repeats times and these are less than its share of the
+    whole table's tokens."""
     got = mixed.groupBy(F.col("source").alias("name")).agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("copies"))
     every = mixed.agg(F.sum(F.col("tokens") * F.col("copies")).alias("all"))
     joined = sized.join(got, "name", "left").join(F.broadcast(every), F.lit(True))  # one row
+    used_up = F.coalesce("copies", F.lit(0)) == F.col("has") * F.greatest("max_repeats", F.lit(0))
     return joined.select(
         F.col("spelt").alias("source"), "target_share", F.round(F.coalesce(F.col("tokens") / F.col("all"), F.lit(0.0)), 6).alias("actual_share"),
-        F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("copies", F.lit(0)).alias("copies"), (F.col("has_tokens") * F.col("max_repeats") < F.col("target_share") * F.col("total")).alias("falls_short"),
+        F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("copies", F.lit(0)).alias("copies"), (used_up & (F.coalesce("tokens", F.lit(0)) < F.col("target_share") * F.col("total"))).alias("falls_short"),
     )

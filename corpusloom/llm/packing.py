@@ -14,7 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import rank_in_group
+from ..functions.running import buckets_for, rank_in_group
+
+
+#: Bytes of a plan that is sent to every task.  It has at most `capacity` lengths, whatever the number of documents: 32,768 tokens need
+#: 14 MB for 200,000,000 documents.
+PLAN_BYTES = 256 << 20
 
 
 def plan_packs(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -22,10 +27,10 @@ def plan_packs(histogram: dict[int, int], capacity: int) -> list[tuple[int, tupl
 
     Patterns with the same room are used in the order they came up.  Room for nothing closes a pattern."""
     room: dict[int, list[list]] = {}
-    closed: list[tuple[int, tuple[int, ...]]] = []
+    closed: list[tuple[int, tuple]] = []
     widest = 0  # no open pattern has more room than this
 
-    def put(space: int, count: int, lengths: tuple[int, ...]) -> None:
+    def put(space: int, count: int, lengths: tuple) -> None:
         nonlocal widest
         if space <= 0:
             closed.append((count, lengths))
@@ -42,7 +47,7 @@ def plan_packs(histogram: dict[int, int], capacity: int) -> list[tuple[int, tupl
             if widest < length:  # open no more containers than this length can fill
                 opened = -(-left // (capacity // length))
                 left -= opened
-                put(capacity - length, opened, (length,))
+                put(capacity - length, opened, (length, None))
                 continue
             group = room[widest][0]
             used = min(left, group[0])
@@ -50,8 +55,18 @@ def plan_packs(histogram: dict[int, int], capacity: int) -> list[tuple[int, tupl
             if not group[0]:
                 room[widest].pop(0)
             left -= used
-            put(widest - length, used, (*group[1], length))
-    return closed + [(count, lengths) for groups in room.values() for count, lengths in groups if count]
+            put(widest - length, used, (length, group[1]))
+    plan = closed + [(count, lengths) for groups in room.values() for count, lengths in groups if count]
+    return [(count, _unlinked(lengths)) for count, lengths in plan]
+
+
+def _unlinked(lengths: tuple | None) -> tuple[int, ...]:
+    """The lengths of a pattern, which is kept as (last length, what came before) so that adding one copies nothing."""
+    out = []
+    while lengths is not None:
+        out.append(lengths[0])
+        lengths = lengths[1]
+    return tuple(reversed(out))
 
 
 def places(plan: list[tuple[int, tuple[int, ...]]], first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -98,7 +113,10 @@ def pack(documents: DataFrame, capacity: int) -> DataFrame:
     loose = items.where(F.col("length") < capacity)
     counts = {int(r["length"]): int(r["n"]) for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     full = counts.pop(capacity, 0)
-    table = documents.sparkSession.sparkContext.broadcast(places(plan_packs(counts, capacity), full))
+    runs = places(plan_packs(counts, capacity), full)
+    if sum(x.nbytes for x in runs) > PLAN_BYTES:
+        raise ValueError(f"a plan for {capacity} tokens needs more than {PLAN_BYTES} bytes in every task")
+    table = documents.sparkSession.sparkContext.broadcast(runs)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, ranks, containers, starts = table.value
@@ -108,9 +126,10 @@ def pack(documents: DataFrame, capacity: int) -> DataFrame:
             at = np.searchsorted(key, length * (1 << 40) + rank, side="right") - 1
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(containers[at] + rank - ranks[at]), pa.array(starts[at])], [*b.schema.names[:4], "pack_no", "start"])
 
+    buckets = buckets_for(documents)
     named = F.concat_ws("/", "doc_id", "part")
-    ranked = rank_in_group(loose.withColumn("piece", named), ["length"], "piece", "rank").select("doc_id", "part", "first_token", "length", F.col("rank").cast("long"))
-    alone = rank_in_group(whole.withColumn("piece", named), ["length"], "piece", "rank").select("doc_id", "part", "first_token", "length", F.col("rank").cast("long").alias("pack_no"), F.lit(0).cast("long").alias("start"))
+    ranked = rank_in_group(loose.withColumn("piece", named), ["length"], "piece", "rank", buckets).select("doc_id", "part", "first_token", "length", F.col("rank").cast("long"))
+    alone = rank_in_group(whole.withColumn("piece", named), ["length"], "piece", "rank", buckets).select("doc_id", "part", "first_token", "length", F.col("rank").cast("long").alias("pack_no"), F.lit(0).cast("long").alias("start"))
     return alone.unionByName(ranked.mapInArrow(place, _PACKED))
 
 

@@ -15,8 +15,8 @@ from ..session import drop, stored
 
 #: Words of a shingle, and the similarity that near duplicates have at least.
 WORDS, SIMILAR = 5, 0.8
-#: Entries of the frequency table, as a power of two, and about how many rows it is counted on; both only move cost, not results.
-TABLE_BITS, TABLE_ROWS = 20, 20_000
+#: Entries of the frequency table, as a power of two: 4 MB; it only moves cost, not results.
+TABLE_BITS = 20
 #: Rows of a bucket up to which its pairs are listed, and rows of a block of a larger one.
 LISTED, BLOCK_ROWS = 32, 3_000
 
@@ -34,6 +34,13 @@ def exact_classes(df: DataFrame, row: str, text: Column) -> DataFrame:
     return hashed.join(lead, "h").select(row, "keep")
 
 
+def reconciled(classes: DataFrame, row: str, keep: str, declared: int | None = None) -> DataFrame:
+    """examined, kept, removed, declared and whether they add up: what was examined was kept or removed, and is what was declared."""
+    sums = classes.agg(F.count("*").alias("examined"), F.count_if(F.col(row) == F.col(keep)).alias("kept"), F.count_if(F.col(row) != F.col(keep)).alias("removed"))
+    said = sums.withColumn("declared", F.lit(declared).cast("long"))
+    return said.withColumn("reconciled", (F.col("examined") == F.col("kept") + F.col("removed")) & F.coalesce(F.col("declared") == F.col("examined"), F.lit(True)))
+
+
 def survivors(df: DataFrame, row: str, text: Column) -> DataFrame:
     """(row): the smallest row id of each text."""
     return df.select(row, text_hash(text).alias("h")).groupBy("h").agg(F.min(row).alias(row)).select(row)
@@ -69,12 +76,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequencies(sets: DataFrame) -> np.ndarray:
-    """How often shingles occur in a sample of the rows, in a table of fixed size."""
-    share = max(1, sets.count() // TABLE_ROWS)
-    sample = sets.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0).select("shingles")
-    got = sample.mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(1 << TABLE_BITS, np.uint16)
-    table[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), 65_535)
+    """How often shingles occur, over all rows, in a table of fixed size."""
+    got = sets.select("shingles").mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << TABLE_BITS, np.uint32)
+    table[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), (1 << 32) - 1)
     return table
 
 
@@ -83,7 +88,7 @@ def _prefixes(table, similar: float):
     n - ceil(similar * n) + 1 shingles, in any order that is the same for all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.frombuffer(table.value, np.uint16)
+        often = np.frombuffer(table.value, np.uint32)
         for b in batches:
             shingles = b.column("shingles")
             flat = shingles.flatten().to_numpy(zero_copy_only=False)

@@ -15,10 +15,10 @@ import json
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,61 +31,85 @@ SKETCH = 256
 SAME_CONTENT = 0.45
 #: Flooding ends after so many rounds, or when no score moves by more than this.
 ROUNDS, SETTLED = 50, 1e-3
-#: The containers whose members are fields of their own, and the one inside tools.
-CONTAINERS = ("messages", "tools")
+#: The containers whose members are fields of their own, unless others are given.
+CONTAINERS = ("messages", "tools", "tools.function")
 
-_TYPES = {str: 1, bool: 4, int: 2, float: 2, dict: 8, list: 16, type(None): 0}
+_NUMBER = re.compile(r"-?\d{1,15}(\.\d+)?")
+_LETTERS, _DIGITS, _RUNS, _MIXED = re.compile(r"[^\W\d_]"), re.compile(r"[0-9]"), re.compile(r"(\w)\1+"), re.compile(r"[0-9a]+")
+
+#: A number with a fraction, or beyond 64 bits, has a bit more; to the report both are numbers.
+_FRACTION = 32
+_TYPES = {str: 1, bool: 4, int: 2, float: 2 | _FRACTION, dict: 8, list: 16, type(None): 0}
 _TYPE_NAMES = {1: "string", 2: "number", 4: "boolean", 8: "object", 16: "array"}
 
 
-def fields_of(record: dict) -> Iterator[tuple[str, object]]:
-    """(path, value) of every field of a record: x, messages.x, tools.x and tools.function.x."""
-    for name, value in record.items():
-        if name not in CONTAINERS:
-            yield name, value
-            continue
-        for member in value if isinstance(value, list) else [value]:
-            if not isinstance(member, dict):
-                continue
-            for inner, v in member.items():
-                if name == "tools" and inner == "function" and isinstance(v, dict):
-                    for deep, w in v.items():
-                        yield f"tools.function.{deep}", w
-                elif not (name == "tools" and inner == "function"):
-                    yield f"{name}.{inner}", v
+def fields_of(record: dict, containers: Collection[str] | None = CONTAINERS) -> Iterator[tuple[str, object]]:
+    """(path, value) of every field of a record.
+
+    The members of containers are fields of their own (x, messages.x, tools.x and tools.function.x by default); what lies below
+    any other field is part of its value.  With None, every object and every array of objects is a container."""
+
+    def walk(inside: dict, above: str) -> Iterator[tuple[str, object]]:
+        for name, value in inside.items():
+            path = above + name
+            members = value if isinstance(value, list) else [value]
+            if any(isinstance(m, dict) for m in members) if containers is None else path in containers:
+                for m in members:
+                    if isinstance(m, dict):
+                        yield from walk(m, path + ".")
+            else:
+                yield path, value
+
+    yield from walk(record, "")
+
+
+@lru_cache(1 << 16)
+def _bucket(kind: str) -> int:
+    return zlib.crc32(kind.encode()) % SKETCH
+
+
+def _number_kinds(value: float) -> list[tuple[int, float]]:
+    size = math.log10(abs(value)) if value and math.isfinite(value) else -1.0
+    return [(_bucket(f"size {round(size)}"), 2.0), (_bucket("whole" if isinstance(value, int) or value.is_integer() else "fraction"), 1.0)]
+
+
+def _string_kinds(value: str) -> list[tuple[int, float]]:
+    text = value.strip()
+    if len(text) < 18 and _NUMBER.fullmatch(text):
+        return _number_kinds(float(text) if "." in text else int(text))
+    if len(text) <= 40 and " " not in text:
+        shape = _RUNS.sub(r"\1", _DIGITS.sub("9", _LETTERS.sub("a", text)))
+        out = [(zlib.crc32(f"word {text.lower()}".encode()) % SKETCH, 1.5), (_bucket(f"shape {_MIXED.sub('a', shape)}"), 1.5)]
+    else:
+        out = [(_bucket("prose"), 2.5)]
+    return [*out, (_bucket(f"length {len(text).bit_length()}"), 0.7), (_bucket("text"), 0.5)]
+
+
+@lru_cache(1 << 16)
+def _short_kinds(value: str) -> list[tuple[int, float]]:
+    return _string_kinds(value)
 
 
-def _kinds(value: object, depth: int = 0) -> Iterator[tuple[str, float]]:
-    """Features of one value's content: shapes and sizes of its scalars, its words, the keys inside."""
+def _kinds(value: object, depth: int = 0) -> Iterable[tuple[int, float]]:
+    """Features of one value's content, as places in a sketch: shapes and sizes of its scalars, its words, the keys inside."""
     if isinstance(value, bool):
-        yield "boolean", 3.0
-    elif isinstance(value, (int, float)):
-        size = math.log10(abs(value)) if value and math.isfinite(value) else -1.0
-        yield f"size {round(size)}", 2.0
-        yield ("whole" if float(value).is_integer() else "fraction"), 1.0
-    elif isinstance(value, str):
-        text = value.strip()
-        if re.fullmatch(r"-?\d{1,15}(\.\d+)?", text):
-            yield from _kinds(float(text) if "." in text else int(text), depth)
-            return
-        shape = re.sub(r"(\w)\1+", r"\1", re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]", "a", text)))
-        if len(text) <= 40 and " " not in text:
-            yield f"word {text.lower()}", 1.5
-            yield f"shape {re.sub(r'[0-9a]+', 'a', shape)}", 1.5
-        else:
-            yield "prose", 2.5
-        yield f"length {len(text).bit_length()}", 0.7
-        yield "text", 0.5
-    elif isinstance(value, dict):
+        return ((_bucket("boolean"), 3.0),)
+    if isinstance(value, (int, float)):
+        return _number_kinds(value)
+    if isinstance(value, str):
+        return _short_kinds(value) if len(value) <= 40 else _string_kinds(value)
+    out: list[tuple[int, float]] = []
+    if isinstance(value, dict):
+        share = 1 / max(1, len(value))
         for key, inner in value.items():
-            yield f"key {key}", 0.7
+            out.append((_bucket(f"key {key}"), 0.7))
             if depth < 6:
-                for kind, weight in _kinds(inner, depth + 1):
-                    yield kind, weight / max(1, len(value))
-    elif isinstance(value, list):
+                out += [(at, weight * share) for at, weight in _kinds(inner, depth + 1)]
+    elif isinstance(value, list) and depth < 6:
+        share = 1 / max(1, len(value))
         for inner in value:
-            if depth < 6:
-                yield from ((k, w / len(value)) for k, w in _kinds(inner, depth + 1))
+            out += [(at, weight * share) for at, weight in _kinds(inner, depth + 1)]
+    return out
 
 
 def pack(sketch: np.ndarray) -> bytes:
@@ -119,19 +143,23 @@ def _as_object(body: str | None) -> dict | None:
 _PROFILE = "table_name string, feed string, file_path string, batch_day string, field_path string, types int, sketch binary"
 
 
-def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _profiler(containers: Collection[str] | None):
+    return lambda batches: _profile(batches, containers)
+
+
+def _profile(batches: Iterator[pa.RecordBatch], containers: Collection[str] | None) -> Iterator[pa.RecordBatch]:
     """One row for each file and field of a partition; a row without field_path for each file."""
     seen: dict[tuple, list] = {}
     for b in batches:
         columns = [b.column(n).to_pylist() for n in ("table_name", "feed", "file_path", "batch_day", "body")]
         for *file, body in zip(*columns, strict=True):
             seen.setdefault((*file, None), [0, None])
-            for path, value in fields_of(_as_object(body) or {}):
-                at = seen.setdefault((*file, path), [0, np.zeros(SKETCH, np.float32)])
-                at[0] |= _TYPES[type(value)]
-                for kind, weight in _kinds(value):
-                    at[1][zlib.crc32(kind.encode()) % SKETCH] += weight
-    rows = [(*key, mask, None if sketch is None else pack(sketch)) for key, (mask, sketch) in seen.items()]
+            for path, value in fields_of(_as_object(body) or {}, containers):
+                at = seen.get((*file, path)) or seen.setdefault((*file, path), [0, [0.0] * SKETCH])
+                at[0] |= _TYPES[type(value)] | (_FRACTION if type(value) is int and not -(1 << 63) <= value < 1 << 63 else 0)
+                for place, weight in _kinds(value):
+                    at[1][place] += weight
+    rows = [(*key, mask, None if sketch is None else pack(np.array(sketch, np.float32))) for key, (mask, sketch) in seen.items()]
     names = [x.split()[0] for x in _PROFILE.split(", ")]
     schema = pa.schema([(n, pa.int32() if n == "types" else pa.binary() if n == "sketch" else pa.string()) for n in names])
     yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
@@ -181,8 +209,8 @@ def flood(before: dict[str, tuple[int, np.ndarray]], after: dict[str, tuple[int,
     links: list[tuple[tuple[str, str], tuple[str, str], str]] = []
     for s, label, t in _edges(before):
         for u, v in by_label.get(label, ()):
-            if label == "field" and {s, u} - {"tools", "tools.function"} and s != u:
-                continue  # a field may move into or out of `function`, nowhere else
+            if label == "field" and s != u and not (s.startswith(u + ".") or u.startswith(s + ".")):
+                continue  # a field may move into or out of a container within its own (`function`), nowhere else
             links.append(((s, u), (t, v), label))
     nodes = list(dict.fromkeys(n for a, b, _ in links for n in (a, b)))
     at = {n: i for i, n in enumerate(nodes)}
@@ -230,16 +258,13 @@ def match_fields(before: dict[str, tuple[int, np.ndarray]], after: dict[str, tup
     return sorted(out)
 
 
-def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The changes of one file against the file before it."""
-    sides: dict[str, dict] = {"before": {}, "after": {}}
-    for side, path, types, sketch in zip(pdf["side"], pdf["field_path"], pdf["types"], pdf["sketch"], strict=True):
-        if path is None or sketch is None:
-            continue
-        old = sides[side].get(path, (0, np.zeros(SKETCH, np.float32)))
-        sides[side][path] = (old[0] | int(types), old[1] + unpack(sketch))
-    before, after = sides["before"], sides["after"]
-    matches = match_fields(before, after)
+def _sketches(fields: dict[str, tuple[int, list[bytes]]]) -> dict[str, tuple[int, np.ndarray]]:
+    return {path: (types, sum(map(unpack, parts), np.zeros(SKETCH, np.float32))) for path, (types, parts) in fields.items()}
+
+
+def file_changes(before: dict[str, tuple[int, list[bytes]]], after: dict[str, tuple[int, list[bytes]]]) -> list[tuple[str, str, str | None]]:
+    """(field_path, change, old_path) from one file to the next; content is looked at only where fields are gone and others new."""
+    matches = match_fields(_sketches(before), _sketches(after)) if set(before) - set(after) and set(after) - set(before) else []
     renamed, old = {b: a for a, b in matches}, {a for a, _ in matches}
     rows = []
     for path in sorted(set(before) | set(after)):
@@ -250,27 +275,42 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
         elif path not in after:
             if path not in old:
                 rows.append((path, "removed", None))
-        elif after[path][0] & ~before[path][0]:
+        elif after[path][0] & ~before[path][0] & ~_FRACTION:
             rows.append((path, "type_changed", None))
-    out = pd.DataFrame(rows, columns=["field_path", "change", "old_path"])
-    out.insert(0, "file_path", pdf["file_path"].iloc[0])
-    out.insert(0, "feed", pdf["feed"].iloc[0])
-    out.insert(0, "table_name", pdf["table_name"].iloc[0])
-    return out
+    return rows
+
+
+_CHANGES = "table_name string, feed string, file_path string, field_path string, change string, old_path string"
+#: Profile rows of the files that one call compares.
+COMPARED = 20_000
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """The changes of some files, each against the file before it in its feed."""
+    files: dict[tuple, tuple[dict, dict]] = {}
+    columns = [table.column(n).to_pylist() for n in ("table_name", "feed", "file_path", "side", "field_path", "types", "sketch")]
+    for *file, side, path, types, sketch in zip(*columns, strict=True):
+        fields = files.setdefault(tuple(file), ({}, {}))[side == "after"]
+        if path is not None and sketch is not None:
+            mask, parts = fields.get(path, (0, []))
+            fields[path] = (mask | types, [*parts, sketch])
+    rows = [(*file, *change) for file, (before, after) in files.items() for change in file_changes(before, after)]
+    names = [c.split()[0] for c in _CHANGES.split(", ")]
+    return pa.table({n: pa.array([r[i] for r in rows], pa.string()) for i, n in enumerate(names)})
 
 
-def profiles(lines: DataFrame) -> DataFrame:
+def profiles(lines: DataFrame, containers: Collection[str] | None = CONTAINERS) -> DataFrame:
     """Fields of each file: table_name, feed, file_path, batch_day, field_path, types, sketch; partial, one row for each partition that holds part of the file."""
     need = ["table_name", "feed", "file_path", "batch_day", "body"]
-    return lines.select(*(F.col(n).cast("string").alias(n) for n in need)).mapInArrow(_profile, _PROFILE)
+    return lines.select(*(F.col(n).cast("string").alias(n) for n in need)).mapInArrow(_profiler(containers), _PROFILE)
 
 
-def schema_changes(lines: DataFrame) -> DataFrame:
+def schema_changes(lines: DataFrame, containers: Collection[str] | None = CONTAINERS) -> DataFrame:
     """Changes of fields from file to file.
 
     lines: table_name, feed, file_path, batch_day, body; other columns are ignored.  Returns
     table_name, feed, file_path, field_path, change ('added', 'removed', 'renamed', 'type_changed')
-    and old_path (of a renamed field).  Files of a feed are ordered by batch_day, then file_path.
+    and old_path (of a renamed field).  containers: the fields whose members are fields of their own; None for all.  Files of a feed are ordered by batch_day, then file_path.
 
     Lines that aren't JSON objects, null bodies among them, have no fields; a file of such lines
     only is a file without fields.  Lines delivered again, late or out of order change nothing.
@@ -278,7 +318,7 @@ def schema_changes(lines: DataFrame) -> DataFrame:
     changes.  No step gathers a file's lines or a feed's fields in one task: what meets is the
     profile of two files, whose size follows the number of their fields.
     """
-    return _changes(stored(profiles(lines), "profiles"))
+    return _changes(stored(profiles(lines, containers), "profiles"))
 
 
 def _changes(own: DataFrame) -> DataFrame:
@@ -292,9 +332,9 @@ def _changes(own: DataFrame) -> DataFrame:
     before = at.join(later, F.col("table_name").eqNullSafe(F.col("t")) & F.col("feed").eqNullSafe(F.col("f")) & (F.col("n") == F.col("m")))
     before = before.select("table_name", "feed", F.col("next_path").alias("file_path"), F.lit("before").alias("side"), "field_path", "types", "sketch")
     after = at.where("n > 1").select("table_name", "feed", "file_path", F.lit("after").alias("side"), "field_path", "types", "sketch")
-    return before.unionByName(after).groupBy("table_name", "feed", "file_path").applyInPandas(
-        _compare, "table_name string, feed string, file_path string, field_path string, change string, old_path string"
-    )
+    buckets = max(8, -(-own.count() // COMPARED))
+    file = F.pmod(F.xxhash64("table_name", "feed", "file_path"), F.lit(buckets))
+    return before.unionByName(after).groupBy(file.alias("bucket")).applyInArrow(_compare, _CHANGES)
 
 
 def common_names(changes: DataFrame, uses: dict[str, int]) -> dict[str, str]:
@@ -331,6 +371,8 @@ def _unifier(names: dict[str, str], types: dict[str, int]):
             return None
         mask = types.get(path, 1)
         if mask == 2:
+            return value if isinstance(value, int) else None
+        if mask == 2 | _FRACTION:
             return float(value) if isinstance(value, (int, float)) else None
         if mask == 4:
             return value if isinstance(value, bool) else None
@@ -342,7 +384,7 @@ def _unifier(names: dict[str, str], types: dict[str, int]):
             return None
         out: dict = {}
         for name, value in record.items():
-            if name not in CONTAINERS:
+            if name not in ("messages", "tools"):
                 path = names.get(name, name)
                 out[path] = cast(path, value) if out.get(path) is None else out[path]
                 continue
@@ -370,8 +412,8 @@ def unified_records(lines: DataFrame) -> DataFrame:
 
     lines: as for schema_changes, with record_no, line_no and arrived_at.  Returns table_name,
     feed, file_path, line_no, record_no and `record`, a struct with one column for each common
-    field; `messages` and `tools` are arrays of structs.  A field that was a number in every file is
-    a double, a boolean a boolean, anything else a string (JSON text where it wasn't one).  A line
+    field; `messages` and `tools` are arrays of structs.  A field that was a whole number of 64 bits in every
+    file is a long, any other number a double, a boolean a boolean, anything else a string (JSON text where it wasn't one).  A line
     delivered several times (same table, file and line) counts once, as it arrived last; ties go to
     the larger record_no; a line without line_no is known by its record_no.  `messages` or `tools` given as one
     object is a list of it.  Lines that aren't JSON objects are left out.
@@ -384,17 +426,17 @@ def unified_records(lines: DataFrame) -> DataFrame:
     for r in known:
         path = names.get(r["field_path"], r["field_path"])
         types[path] = types.get(path, 0) | r["types"]
-    spark_type = lambda mask: {2: "double", 4: "boolean"}.get(mask, "string")
-    top, inner = {}, {c: {} for c in CONTAINERS}
+    spark_type = lambda mask: {2: "long", 2 | _FRACTION: "double", 4: "boolean"}.get(mask, "string")
+    top, inner = {}, {c: {} for c in ("messages", "tools")}
     for path, mask in sorted(types.items()):
         holder = path.split(".", 1)[0]
-        if "." in path and holder in CONTAINERS:
+        if "." in path and holder in inner:
             key = column_of(path, types)
             inner[holder][key] = inner[holder].get(key, 0) | mask
         else:
             top[path] = mask
     quoted = lambda fields: ", ".join(f"`{n.replace('`', '``')}`: {spark_type(m)}" for n, m in fields.items())
-    shape = ", ".join([quoted(top)] * bool(top) + [f"{c}: array<struct<{quoted(inner[c])}>>" for c in CONTAINERS if inner[c]])
+    shape = ", ".join([quoted(top)] * bool(top) + [f"{c}: array<struct<{quoted(inner[c])}>>" for c in inner if inner[c]])
     keep = ["table_name", "feed", "file_path", "line_no", "record_no", "body"]
     last = lines.groupBy("table_name", "feed", "file_path", "line_no", F.when(F.col("line_no").isNull(), F.col("record_no")).alias("unnumbered")).agg(F.max_by(F.struct("record_no", "body"), F.struct("arrived_at", "record_no")).alias("r"))
     flat = last.select("table_name", "feed", "file_path", "line_no", "r.record_no", "r.body").select(*keep)

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from ..functions.text import first_user_message, truncated
 
@@ -56,11 +56,15 @@ def list_records(df: DataFrame, has_tools: bool = False, reasoning: bool = False
     return out.limit(limit) if limit is not None else out
 
 
-def search(df: DataFrame, query: str, columns: list[str], context: int = 30, case_sensitive: bool = False) -> DataFrame:
-    """Rows in which a column contains the query, with `found_in` and `around`: the first hit and `context` characters on both sides."""
+def search(df: DataFrame, query: str, columns: list[str] | None = None, context: int = 30, case_sensitive: bool = False) -> DataFrame:
+    """Rows in which a column contains the query, with `found_in` and `around`: the first hit and `context` characters on both sides.
+
+    All columns unless some are named; arrays, structs and maps are searched whole, as JSON."""
     fold = (lambda c: c) if case_sensitive else F.lower
     wanted = query if case_sensitive else query.lower()
-    hits = F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("text"), F.instr(fold(F.col(n).cast("string")), wanted).alias("at")) for n in columns))
+    nested = {f.name for f in df.schema if isinstance(f.dataType, (ArrayType, StructType, MapType))}
+    said = lambda n: F.to_json(n) if n in nested else F.col(n).cast("string")
+    hits = F.array(*(F.struct(F.lit(n).alias("column"), said(n).alias("text"), F.instr(fold(said(n)), wanted).alias("at")) for n in columns or df.columns))
     first = df.withColumn("__hit", F.get(F.filter(hits, lambda h: h["at"] > 0), F.lit(0))).where("__hit is not null")
     at, text = F.col("__hit.at"), F.col("__hit.text")
     start, end = F.greatest(F.lit(1), at - context), at + len(query) - 1 + context
@@ -79,8 +83,14 @@ def role_counts(df: DataFrame) -> DataFrame:
     return roles.groupBy("role").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "role")
 
 
+def record_roles(messages: Column) -> Column:
+    """How often each role speaks in one record, as a map in the order of the roles; messages without a role count as unknown."""
+    roles = F.transform(messages, lambda m: F.coalesce(m["role"], F.lit("unknown")))
+    return F.map_from_entries(F.transform(F.array_sort(F.array_distinct(roles)), lambda r: F.struct(r, F.size(F.filter(roles, lambda x: x == r)))))
+
+
 def tool_name(t: Column) -> Column:
-    return F.coalesce(t["function"]["name"], t["name"])
+    return F.coalesce(t["name"], t["function"]["name"])
 
 
 def tool_counts(df: DataFrame, top: int | None = 10) -> DataFrame:
@@ -90,13 +100,21 @@ def tool_counts(df: DataFrame, top: int | None = 10) -> DataFrame:
     return counted.limit(top) if top else counted
 
 
+def distinct_tools(df: DataFrame) -> DataFrame:
+    """(distinct_tools): the number of different tool names, from partial sets."""
+    named = df.select(F.explode("tools").alias("t")).select(tool_name(F.col("t")).alias("tool"))
+    return named.agg(F.count_distinct("tool").alias("distinct_tools"))
+
+
 def statistics(df: DataFrame) -> DataFrame:
-    """records, messages, tools, messages a record, and records with tools and with reasoning, in one pass."""
+    """records, messages, tools, messages a record, and records with tools and with reasoning, as numbers and in percent, in one pass."""
     m, t = count_of(F.col("messages")), count_of(F.col("tools"))
-    return df.agg(
+    sums = df.agg(
         F.count("*").alias("records"), F.sum(m).alias("messages"), F.sum(t).alias("tools"), F.round(F.avg(m), 6).alias("messages_a_record"),
         F.count_if(t > 0).alias("with_tools"), F.count_if(reasons(df)).alias("with_reasoning"),
     )
+    percent = lambda c: F.when(F.col("records") > 0, F.round(100 * F.col(c) / F.col("records"), 4)).otherwise(0.0)
+    return sums.select("*", percent("with_tools").alias("tools_percent"), percent("with_reasoning").alias("reasoning_percent"))
 
 
 def page(df: DataFrame, ordinal: str, number: int, size: int = 50) -> DataFrame:

@@ -79,23 +79,40 @@ class Target:
     subdomain_share: float
 
 
+def _number(share: object, where: str) -> float:
+    if isinstance(share, bool) or not isinstance(share, (int, float, str)):
+        raise ValueError(f"{where} must be a number, not {share!r}")
+    try:
+        return float(share)
+    except ValueError:
+        raise ValueError(f"{where} must be a number, not {share!r}") from None
+
+
+def _level(entries: dict, where: str) -> list[tuple[str, float, dict]]:
+    """(name, share, what is below) of each entry of a level; an entry is a share or a mapping with one.  The shares add up to 1."""
+    if not isinstance(entries, dict):
+        raise ValueError(f"{where} must be a mapping")
+    out = [(str(k), _number(v.get("share") if isinstance(v, dict) else v, f"{where}.{k}"), v if isinstance(v, dict) else {}) for k, v in entries.items()]
+    shares = [s for _, s, _ in out]
+    if any(not 0 <= s <= 1 for s in shares) or (shares and abs(sum(shares) - 1) > 1e-6):
+        raise ValueError(f"shares of {where} don't add up to 1: {shares}")
+    return out
+
+
 def parse_mixture(tree: dict) -> list[Target]:
-    """{bin: {share, domains: {name: {share, subdomains: {name: share}}}}} as rows.  Bins are whole numbers, shares from 0 to 1, and each level adds up to 1; a bin may have no domains."""
-    def adds_up(level: str, shares: list[float]) -> None:
-        if any(not 0 <= s <= 1 for s in shares) or (shares and abs(sum(shares) - 1) > 1e-6):
-            raise ValueError(f"shares of {level} don't add up to 1: {shares}")
+    """{bin: {share, domains: {name: share, or {share, subdomains: {name: share}}}}} as rows, with or without `bins` around it.
 
+    Bins are whole numbers, shares from 0 to 1, and each level adds up to 1; a bin may have no domains, and a domain no subdomains."""
     out = []
-    adds_up("bins", [float(b["share"]) for b in tree.values()])
-    for name, b in tree.items():
-        edge, domains = int(name), b.get("domains") or {}
-        adds_up(f"bin {name}", [float(d["share"]) for d in domains.values()])
+    for name, bin_share, below in _level(tree.get("bins", tree), "bins"):
+        if not name.isdigit():
+            raise ValueError(f"a bin is a whole number, not {name!r}")
+        edge, domains = int(name), _level(below.get("domains") or {}, f"bin {name}")
         if not domains:
-            out.append(Target(edge, float(b["share"]), None, 1.0, None, 1.0))
-        for domain, d in domains.items():
-            subs = d.get("subdomains") or {}
-            adds_up(f"domain {domain}", [float(s) for s in subs.values()])
-            out += [Target(edge, float(b["share"]), domain, float(d["share"]), s, float(x)) for s, x in subs.items()] or [Target(edge, float(b["share"]), domain, float(d["share"]), None, 1.0)]
+            out.append(Target(edge, bin_share, None, 1.0, None, 1.0))
+        for domain, share, inside in domains:
+            subs = _level(inside.get("subdomains") or {}, f"bin {name}, domain {domain}")
+            out += [Target(edge, bin_share, domain, share, sub, part) for sub, part, _ in subs] or [Target(edge, bin_share, domain, share, None, 1.0)]
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import bisect
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -19,6 +19,8 @@ from .sampling import sub_partition
 MAX_OPEN, MAX_DOCUMENTS, MAX_SAME_HOST = 4096, 32, 2
 #: Label of positions that don't count in the loss.
 IGNORED = -100
+#: Chunks of a bucket, were none packed in the first round.
+BUCKET_CHUNKS = 200_000
 
 SEGMENT = "doc_id string, chunk int, host string, cluster int, n int"
 GROUP = f"context int, partition long, full boolean, segments array<struct<{SEGMENT.replace(' ', ':').replace(',:', ',')}>>"
@@ -30,9 +32,10 @@ def split_document(ids: Column, context: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(size)), lambda i: F.slice(ids, i + 1, size))
 
 
-def segments(df: DataFrame, ids: str = "input_ids") -> DataFrame:
-    """One row for each chunk of a document: doc_id, host, cluster, context, partition, chunk, ids. df has all but the last two and `input_ids`."""
-    contexts = [r["context"] for r in df.select("context").distinct().collect()]  # a handful
+def segments(df: DataFrame, contexts: Sequence[int], ids: str = "input_ids") -> DataFrame:
+    """One row for each chunk of a document: doc_id, host, cluster, context, partition, chunk, ids. df has all but the last two and `input_ids`.
+
+    contexts: the lengths that `context` can have, a setting of the run."""
     chunks = F.array().cast("array<array<int>>")
     for c in contexts:
         chunks = F.when(F.col("context") == c, split_document(F.col(ids), c)).otherwise(chunks)
@@ -136,10 +139,13 @@ def _order(first: bool) -> Column:
     return F.concat(F.format_string("%012d", F.lit(10**11) - used), F.lit("/"), s["doc_id"], F.format_string("/%09d", s["chunk"]))
 
 
-def pack_all(parts: DataFrame, buckets: int = 64, limits: dict | None = None) -> DataFrame:
+def pack_all(parts: DataFrame, buckets: int | None = None, limits: dict | None = None) -> DataFrame:
     """All rounds: within a physical partition, then within a cluster, then across clusters by hash; the rest is padded.
 
-    parts: what segments() gives.  Returns context and segments of each sample."""
+    parts: what segments() gives, stored.  Returns context and segments of each sample.  Unless told, a bucket is meant to get
+    BUCKET_CHUNKS chunks, so what meets in a task doesn't grow with the corpus."""
+    if buckets is None:
+        buckets = max(64, -(-parts.count() // BUCKET_CHUNKS))
     one = F.array(F.struct(F.col("doc_id").cast("string").alias("doc_id"), F.col("chunk").cast("int").alias("chunk"), F.col("host").alias("host"), F.col("cluster").cast("int").alias("cluster"), F.size("ids").alias("n")))
     start = parts.select("context", "partition", one.alias("segments"))
     done: DataFrame | None = None

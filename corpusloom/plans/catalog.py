@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, corpus, training
+from . import conversations, corpus, sources, training
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**training.QUERIES, **corpus.QUERIES, **conversations.QUERIES}
-ORACLES: dict[str, str] = {**training.ORACLES, **corpus.ORACLES, **conversations.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**training.QUERIES, **corpus.QUERIES, **conversations.QUERIES, **sources.QUERIES}
+ORACLES: dict[str, str] = {**training.ORACLES, **corpus.ORACLES, **conversations.ORACLES, **sources.ORACLES, "mixture_scalar_check": corpus.ORACLES["mixture_check"]}

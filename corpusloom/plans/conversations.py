@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.running import ordinal_by_key
 from ..operators import adapters, diff, explore, mix, parse
-from ..sources import sinks
 from . import read
 
 QUERIES: dict = {}
@@ -68,13 +67,14 @@ def role_counts(spark, folder):
     return explore.role_counts(records(spark, folder))
 
 
-@query("""select coalesce(t."function"."name", t."name") as tool, count(*) as n from (select unnest(tools) as t from full_records) where coalesce(t."function"."name", t."name") is not null group by 1 order by n desc, tool limit 10""")
+@query("""select coalesce(t."name", t."function"."name") as tool, count(*) as n from (select unnest(tools) as t from full_records) where coalesce(t."name", t."function"."name") is not null group by 1 order by n desc, tool limit 10""")
 def tool_counts(spark, folder):
     return explore.tool_counts(records(spark, folder))
 
 
 @query("""select count(*) as records, sum(coalesce(len(messages), 0))::bigint as messages, sum(coalesce(len(tools), 0))::bigint as tools, round(avg(coalesce(len(messages), 0)), 6) as messages_a_record,
-count(*) filter (coalesce(len(tools), 0) > 0) as with_tools, count(*) filter (len([1 for m in messages if coalesce(m.reasoning_content, '') <> '']) > 0) as with_reasoning from full_records""")
+count(*) filter (coalesce(len(tools), 0) > 0) as with_tools, count(*) filter (len([1 for m in messages if coalesce(m.reasoning_content, '') <> '']) > 0) as with_reasoning, round(100.0 * count(*) filter (coalesce(len(tools), 0) > 0) / count(*), 4) as tools_percent,
+round(100.0 * count(*) filter (len([1 for m in messages if coalesce(m.reasoning_content, '') <> '']) > 0) / count(*), 4) as reasoning_percent from full_records""")
 def dataset_statistics(spark, folder):
     return explore.statistics(records(spark, folder))
 
@@ -139,14 +139,3 @@ def record_diff(spark, folder):
     df = records(spark, folder)
     blanked = parse.blank_answers(F.col("messages"), df.schema["messages"].dataType.elementType)
     return diff.record_diff(df.select("record_no", F.to_json("messages").alias("a"), F.to_json(blanked).alias("b")), "record_no", "a", "b")
-
-
-@query("""select role, count(*) as n, sum(case when r = 1 then 1 else 0 end)::bigint as first_turns from (select record_no, m.role as role, i as r from (select record_no, messages[i] as m, i from (select record_no, messages, unnest(range(1, len(messages) + 1)) as i from full_records))) group by 1""")
-def turn_positions(spark, folder):
-    turns = records(spark, folder).select(F.posexplode("messages").alias("i", "m"))
-    return turns.groupBy(F.col("m.role").alias("role")).agg(F.count("*").alias("n"), F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("first_turns"))
-
-
-@query()
-def as_markdown(spark, folder):
-    return records(spark, folder).select("record_no", sinks.as_markdown(F.col("messages"), F.col("uuid")).alias("markdown"))

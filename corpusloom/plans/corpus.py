@@ -86,13 +86,6 @@ def removed_documents(spark, folder):
     return filters.without(docs, dedup.survivors(docs, "doc_id", T.normal_text(F.col("text"))), "doc_id").select("doc_id")
 
 
-@query(f"with s as (select min(doc_id) as d from documents group by sha256(coalesce({SPACED}, ''))) select (select count(*) from documents) as examined, (select count(*) from s) as kept, (select count(*) from documents) - (select count(*) from s) as removed, true as reconciled")
-def dedup_reconcile(spark, folder):
-    classes = dedup.exact_classes(documents(spark, folder), "doc_id", T.normal_text(F.col("text")))
-    sums = classes.agg(F.count("*").alias("examined"), F.count_if(F.col("doc_id") == F.col("keep")).alias("kept"), F.count_if(F.col("doc_id") != F.col("keep")).alias("removed"))
-    return sums.select("*", (F.col("examined") == F.col("kept") + F.col("removed")).alias("reconciled"))
-
-
 def _kept(spark, folder) -> DataFrame:
     """The flagship's rows: documents of distinct texts with domain, source and words."""
     docs = documents(spark, folder).select("doc_id", T.normal_text(F.col("text")).alias("text"), F.lower("source").alias("source_dataset"), F.col("lang").alias("domain"))
@@ -133,11 +126,6 @@ def length_bins(spark, folder):
     return words.select("doc_id", "words", T.length_bin(F.col("words"), BINS).alias("len_bucket"))
 
 
-@query()
-def files_per_domain(spark, folder):
-    return manifest.files_per_domain(pages(spark, folder))
-
-
 _TARGETS = {"50": {"share": 0.25, "domains": {"en": {"share": 0.75, "subdomains": {"web_crawl": 0.5, "books": 0.5}}, "de": {"share": 0.25}}}, "150": {"share": 0.25}, "400": {"share": 0.5, "domains": {"en": {"share": 1.0}}}}
 
 
@@ -215,23 +203,6 @@ def split_parts(spark, folder):
     return sampling.with_part(docs, 7, "ordinal").drop("ordinal")
 
 
-@query("select part, count(*) as n from (select ntile(7) over (order by doc_id)::int as part from documents) group by 1")
-def split_shuffled_sizes(spark, folder):
-    parts = sampling.shuffled_parts(documents(spark, folder).select("doc_id"), "doc_id", 7, 11)
-    return parts.groupBy("part").agg(F.count("*").alias("n"))
-
-
-@query("select doc_id, n_chars, 'lost' as \"where\" from documents where false")
-def split_verified(spark, folder):
-    docs = documents(spark, folder).select("doc_id", "n_chars")
-    return sampling.verify_split(docs, sampling.with_part(ordinal_by_key(docs, "doc_id"), 5, "ordinal").drop("ordinal"), "doc_id")
-
-
-@query("select doc_id, row_number() over (order by doc_id) - 1 as ordinal from documents qualify ordinal >= 100 and ordinal < 150")
-def records_range(spark, folder):
-    return ordinal_by_key(documents(spark, folder).select("doc_id"), "doc_id").where("ordinal >= 100 and ordinal < 150")
-
-
 @query(f"select doc_id, ({_U.format(9, 'doc_id')} % 16)::bigint as part from documents")
 def stable_partition(spark, folder):
     return documents(spark, folder).select("doc_id", sampling.sub_partition(F.col("doc_id"), F.lit(16), 9).alias("part"))
@@ -252,12 +223,6 @@ def choose_context(spark, folder):
     return documents(spark, folder).select("doc_id", sampling.choose_context(F.col("doc_id"), {8192: 0.25, 65536: 0.75}, 2).alias("context"))
 
 
-@query()
-def shuffle_order(spark, folder):
-    docs = documents(spark, folder).select("doc_id", sampling.sub_partition(F.col("doc_id"), F.lit(16), 9).alias("physical_partition"))
-    return topics.shuffle_order(docs, "doc_id")
-
-
 @query("""with e as (select case when event_type = 'purchase' or value >= 20 then 1.0 else 0.0 end as reward, case when user_id % 7 = 0 then 1.0 else 0.0 end as has_error, floor(value)::int as num_turns, event_type as model from events)
 select case when reward <> 1.0 then 'failed' when has_error = 1.0 then 'excluded_by_error' when coalesce(num_turns, 0) < 10 then 'excluded_by_min_turns' when coalesce(num_turns, 0) > 80 then 'excluded_by_max_turns' else 'passed' end as reason, count(*) as n from e group by 1""")
 def eval_filter(spark, folder):
@@ -301,7 +266,7 @@ def _segments(spark, folder) -> DataFrame:
     docs = documents(spark, folder).select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.lower("site").alias("host"))
     ids = tokenize(docs, file_encoder(TOKENIZER))
     placed = ids.withColumn("context", sampling.choose_context(F.col("doc_id"), {512: 0.5, 2048: 0.5})).withColumn("cluster", sampling.sub_partition(F.col("doc_id"), F.lit(4), 1).cast("int"))
-    return stored(pack.segments(placed.withColumn("partition", F.col("cluster").cast("long") * 16 + sampling.sub_partition(F.col("doc_id"), F.lit(16), 2))), "segments")
+    return stored(pack.segments(placed.withColumn("partition", F.col("cluster").cast("long") * 16 + sampling.sub_partition(F.col("doc_id"), F.lit(16), 2)), (512, 2048)), "segments")
 
 
 @query()

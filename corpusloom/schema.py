@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
 _KINDS = {"string": StringType(), "double": DoubleType(), "long": LongType(), "boolean": BooleanType()}
 
@@ -30,9 +30,20 @@ SFT_SCHEMA = StructType(
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the schema's columns, cast; columns df lacks are null, others are dropped."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(*((df[have[f.name.lower()]] if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields))
+    """Exactly the schema's columns, cast; columns df lacks are null, others are dropped.
+
+    Where a string is wanted, arrays, structs and maps become JSON."""
+    have = {f.name.lower(): f for f in df.schema}
+
+    def column(f: StructField) -> Column:
+        given = have.get(f.name.lower())
+        if given is None:
+            return F.lit(None).cast(f.dataType)
+        if isinstance(f.dataType, StringType) and isinstance(given.dataType, (ArrayType, StructType, MapType)):
+            return F.to_json(df[given.name], {"ignoreNullFields": "false"})
+        return df[given.name].cast(f.dataType)
+
+    return df.select(*(column(f).alias(f.name) for f in schema.fields))
 
 
 @dataclass(frozen=True)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import os
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import scrub_line
 
 #: Extensions and the formats they stand for.
 EXTENSIONS = {
-    ".jsonl": "jsonl", ".ndjson": "jsonl", ".json": "json", ".parquet": "parquet", ".pq": "parquet", ".csv": "csv", ".txt": "text", ".text": "text", ".md": "text",
+    ".jsonl": "jsonl", ".ndjson": "jsonl", ".json": "json", ".parquet": "parquet", ".pq": "parquet", ".csv": "csv", ".txt": "text", ".text": "text", ".md": "text", ".log": "text",
 }
 
 
@@ -37,14 +37,17 @@ def detect_format(path: str) -> str:
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None, strict: bool = False) -> DataFrame:
     """One row for each line that is JSON; control characters are dropped first and other lines skipped.
 
-    strict: raise at a line that isn't JSON.  The schema is inferred from the lines unless given."""
-    mode = "FAILFAST" if strict else "PERMISSIVE"
+    strict: raise at a line that isn't JSON.  The schema is inferred from the lines unless given.  A line is parsed once
+    with the schema; only one whose every field came out null is looked at again, to tell an empty record from no JSON."""
+    lines = spark.read.text(path).select(scrub_line(F.col("value")).alias("value")).where("value <> ''")
     if schema is None:
         inferred = spark.read.option("mode", "FAILFAST" if strict else "DROPMALFORMED").option("allowUnquotedControlChars", True).json(path).schema
         schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in inferred.fields) or "value string"
-    lines = spark.read.text(path).select(scrub_line(F.col("value")).alias("value")).where("value <> ''")
-    parsed = lines.select(F.from_json("value", schema, {"mode": mode}).alias("r"), F.try_parse_json("value").isNotNull().alias("ok"))
-    return (parsed if strict else parsed.where("ok")).select("r.*")
+    if strict:
+        return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    parsed = lines.select(F.from_json("value", f"{schema}, `__broken` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"}).alias("r"), "value")
+    whole = F.col("r.__broken").isNull() | F.try_parse_json("value").isNotNull()  # a value of another type isn't a broken line
+    return parsed.where(whole).select("r.*").drop("__broken")
 
 
 def read_variant(spark: SparkSession, path: str) -> DataFrame:
@@ -70,19 +73,37 @@ def load(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal", first: int = 0) -> DataFrame:
-    """Rows numbered in the order of the files' splits: one count of each partition, then offsets; nothing is shuffled."""
+    """Rows numbered in the order of the files' splits: one count of each partition, then offsets; rows aren't shuffled.
+
+    The offsets are a table with one row for each partition, which is joined."""
     numbered = df.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id() % (1 << 33))
     sizes = {r["__p"]: r["n"] for r in numbered.groupBy("__p").agg(F.count("*").alias("n")).collect()}  # one row a partition
-    at, pairs = first, []
+    starts, at = [], first
     for p in sorted(sizes):
-        pairs += [F.lit(p), F.lit(at).cast("long")]
+        starts.append((p, at))
         at += sizes[p]
-    offset = F.element_at(F.create_map(*pairs), F.col("__p")) if pairs else F.lit(0).cast("long")
-    return numbered.withColumn(name, offset + F.col("__i")).drop("__p", "__i")
+    offsets = df.sparkSession.createDataFrame(starts, "__p int, __at long")
+    return numbered.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__at") + F.col("__i")).drop("__p", "__i", "__at")
+
+
+def with_provenance(df: DataFrame) -> DataFrame:
+    """Adds file_path and file_row, the row's place among those read from its file: a key that survives another cluster and another order.
+
+    df must come straight from files."""
+    held = df.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__i"))
+    part = held.groupBy("file_path", "__start").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))
+    before = Window.partitionBy("file_path").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)  # splits of one file
+    offsets = part.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return held.join(offsets, ["file_path", "__start"]).withColumn("file_row", F.col("__i") - F.col("__first") + F.col("__before")).drop("__start", "__i", "__first", "__before")
 
 
 def count_records(spark: SparkSession, path: str, fmt: str | None = None) -> int:
-    """Records of a file: from the footers for Parquet, else by a scan."""
+    """Records of a file: from the footers for Parquet, else by one scan that infers no schema."""
+    fmt = fmt or detect_format(path)
+    if fmt == "jsonl":
+        return read_variant(spark, path).count()
+    if fmt == "text":
+        return spark.read.text(path).count()
     return load(spark, path, fmt).count()
 
 

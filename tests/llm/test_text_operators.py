@@ -138,11 +138,24 @@ def test_mixing(spark):
     for s, share in (("big_source", 0.5), ("small", 0.25), ("tiny", 0.2)):
         rate = min(caps[s], share * total / has[s])
         assert abs(repeats[s] - rate * number[s]) <= 1.01
-    short = {r["source"] for r in mixing.falling_short(mixing.sizes(docs.withColumn("source", mixing.source_name(F.col("source"))), targets)).collect()}
+    named = docs.withColumn("source", mixing.source_name(F.col("source")))
+    short = {r["source"] for r in mixing.shares(mixing.mix(named, targets), mixing.sizes(named, targets)).where("falls_short").collect()}
     assert short == {s for s, share, cap in (("big_source", 0.5, 1), ("small", 0.25, 3), ("tiny", 0.2, 1), ("absent", 0.05, 9)) if has[s] * cap < share * total}
     assert mixing.mix(docs.where("false"), targets).count() == 0
 
 
+def test_small_budgets_and_copies_as_rows(spark):
+    docs = spark.range(0, 20_000).select(F.col("id").alias("doc_id"), F.lit("web").alias("source"), F.lit(1000).alias("tokens"))
+    targets = spark.createDataFrame([("web", 1.0, 3)], "source string, target_share double, max_repeats int")
+    assert mixing.mix(docs, targets, budget=5_000).count() == 5  # a rate of 0.00025
+    assert mixing.mix(docs, targets, budget=400).count() <= 1  # 0.4 of a copy in all: a rate of 0.00002
+    rows = mixing.mix(docs, targets, budget=50_000_000, rows=True)
+    assert rows.count() == 50_000 and {r["copy"] for r in rows.select("copy").distinct().collect()} == {1, 2, 3}
+    assert mixing.mix(docs, targets, budget=10**12).agg(F.sum("copies")).first()[0] == 60_000
+    rare = sum(mixing.mix(docs, targets, seed=s, budget=10_000_000 // 1_000_000).count() for s in range(3))  # a rate of 5e-7: below half a millionth
+    assert rare <= 3
+
+
 def mixing_name(s):
     return s and s.strip().lower().replace("-", "_").replace(" ", "_")
 

@@ -6,7 +6,8 @@ import difflib
 import hashlib
 import json
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from .operators.normalize import Source
 
@@ -100,3 +101,64 @@ def finished(path: str, run: dict | None = None, rows: int | None = None) -> dic
     if rows is not None and found.get("rows", 0) != rows:
         raise ValueError(f"{path} declares {found.get('rows')} rows, {rows} are there")
     return found
+
+
+def find_finished(root: str, source: str | None = None) -> dict[str, dict]:
+    """Folders below a root whose run finished, with what it declared; of one source only, if named by its marker or by the folder."""
+    found = {}
+    for folder, _, names in os.walk(root):
+        if "_DECLARED.json" in names:
+            with open(os.path.join(folder, "_DECLARED.json")) as f:
+                said = json.load(f)
+            if source is None or source in (said.get("source"), said.get("archive_name"), os.path.basename(folder)):
+                found[folder] = said
+    return dict(sorted(found.items()))
+
+
+def select_inventory(root: str, wanted: Sequence[str] | None = None) -> tuple[dict[str, dict], dict[str, str]]:
+    """(folders to take, folder or name -> why it isn't taken).  A list of wanted sources is strict: one that isn't finished is an error; without one, what isn't fit is skipped."""
+    every, skipped = find_finished(root), {}
+    kept = {}
+    for folder, said in every.items():
+        if said.get("limit") is not None:
+            skipped[folder] = "holds a limited sample"
+        elif not said.get("rows", 1):
+            skipped[folder] = "empty"
+        else:
+            kept[folder] = said
+    if wanted is None:
+        return kept, skipped
+    of = {name: [f for f, said in kept.items() if name in (said.get("source"), said.get("archive_name"), os.path.basename(f))] for name in wanted}
+    if missing := [n for n, folders in of.items() if not folders]:
+        raise ValueError(f"not finished: {', '.join(missing)}")
+    return {f: kept[f] for folders in of.values() for f in folders}, skipped
+
+
+def single_finished(root: str, source: str | None = None) -> str:
+    """The folder of the only finished run; an error where there is none, or more than one."""
+    found = list(find_finished(root, source))
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} finished runs under {root}")
+    return found[0]
+
+
+def sweep(stages: Sequence[tuple[str, Callable[[], bool]]]) -> list[str]:
+    """Run stages one after the other; the first that isn't whole stops the sweep.  The names of those that were."""
+    done = []
+    for name, run in stages:
+        if not run():
+            raise ValueError(f"{name} is partial; nothing after it was run")
+        done.append(name)
+    return done
+
+
+def in_parallel(jobs: dict[str, Callable[[], object]], at_once: int = 4) -> tuple[dict[str, object], dict[str, str]]:
+    """(results, failures) of jobs on the driver's threads, each a Spark job of its own; a failure is reported and stops no other."""
+    results, failed = {}, {}
+    with ThreadPoolExecutor(at_once) as pool:
+        for name, future in {n: pool.submit(job) for n, job in jobs.items()}.items():
+            try:
+                results[name] = future.result()
+            except Exception as e:  # noqa: BLE001 - whatever ends a job is its report
+                failed[name] = str(e)
+    return results, failed

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Sequence
 
@@ -151,3 +152,17 @@ def cell_preview(c: Column, kind: str, n: int = 20) -> Column:
     else:
         shown = truncated(c.cast("string"), n)
     return F.when(c.isNull(), "null").otherwise(shown)
+
+
+def readable_size(n: float) -> str:
+    """Bytes as a person reads them: 512 B, 1.5 KB, 2.0 GB."""
+    for unit in ("B", "KB", "MB", "GB", "TB"):
+        if n < 1024 or unit == "TB":
+            return f"{int(n)} B" if unit == "B" else f"{n:.1f} {unit}"
+        n /= 1024
+    raise AssertionError
+
+
+def urn(application: str, kind: str, *parts: str | int | None) -> str:
+    """The name that a record's UUID is made of: urn:<application>:<kind>:v1:<compact ASCII JSON of the parts>."""
+    return f"urn:{application}:{kind}:v1:" + json.dumps(list(parts), separators=(",", ":"))

@@ -105,3 +105,13 @@ def choose_adapter(df: DataFrame, fmt: str, source: str) -> Callable[[DataFrame,
         if "conversations" in have:
             return passthrough
     raise ValueError(f"no adapter for {fmt} with columns {sorted(have)}")
+
+
+def with_messages(df: DataFrame) -> DataFrame:
+    """`conversations` under the name `messages`, unless there are messages already."""
+    return df.withColumnRenamed("conversations", "messages") if "conversations" in df.columns and "messages" not in df.columns else df
+
+
+def with_conversations(df: DataFrame) -> DataFrame:
+    """The other way round: what with_messages renamed has its name again, for sources kept as unified Parquet."""
+    return df.withColumnRenamed("messages", "conversations") if "messages" in df.columns and "conversations" not in df.columns else df

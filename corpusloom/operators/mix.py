@@ -24,15 +24,29 @@ def union_sources(frames: Sequence[DataFrame], schema=SFT_SCHEMA) -> DataFrame:
 
 def mix(spark: SparkSession, root: str, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
     """All supported files under root, each through the adapter its columns ask for; files left out by name are never opened."""
-    files = choose(discover(root), include, exclude)
+    files = choose(discover(root, spark if "://" in root or root.startswith("file:") else None), include, exclude)
     if not files:
         raise ValueError(f"no files to mix under {root}")
-    frames = []
+    return union_sources([_adapted(spark, paths, fmt, source) for (source, fmt), paths in _grouped(files).items()])
+
+
+def _grouped(files: Sequence[dict[str, str]]) -> dict[tuple[str, str], list[str]]:
+    """Paths by source and format: the files of a source in one format are one scan, however many they are."""
+    groups: dict[tuple[str, str], list[str]] = {}
     for f in files:
-        fmt = detect_format(f["path"])
-        df = load(spark, f["path"], fmt)
-        frames.append(choose_adapter(df, fmt, f["source_dataset"])(df, f["source_dataset"]))
-    return union_sources(frames)
+        groups.setdefault((f["source_dataset"], detect_format(f["path"])), []).append(f["path"])
+    return groups
+
+
+def _adapted(spark: SparkSession, paths: list[str], fmt: str, source: str) -> DataFrame:
+    """One scan of a source's files; where they don't fit together (no adapter for their columns as one), file by file."""
+    try:
+        df = load(spark, paths, fmt)
+        return choose_adapter(df, fmt, source)(df, source)
+    except ValueError:
+        if len(paths) == 1:
+            raise
+        return union_sources([_adapted(spark, [p], fmt, source) for p in paths])
 
 
 def sample_source(df: DataFrame, source: str, share: float, row: str, seed: int = 0) -> DataFrame:

@@ -42,9 +42,12 @@ def resolve(df: DataFrame, source: Source) -> dict[str, str | None]:
 
 
 def inspect(df: DataFrame, source: Source) -> dict[str, object]:
-    """Whether a source can be normalised: ok, needs_mapping or empty, and what is missing."""
+    """Whether a source can be normalised: ok, needs_mapping, empty, or error where it can't be read, and what is missing."""
     found = resolve(df, source)
-    status = "needs_mapping" if found["text"] is None else "ok" if df.take(1) else "empty"
+    try:
+        status = "needs_mapping" if found["text"] is None else "ok" if df.take(1) else "empty"
+    except Exception as e:  # noqa: BLE001 - whatever stops a source from being read is what is reported
+        return {"source": source.name, "status": "error", "fields": found, "columns": df.columns, "warnings": [str(e).split("\n", 1)[0]]}
     return {"source": source.name, "status": status, "fields": found, "columns": df.columns, "warnings": [f"no {f} field" for f, c in found.items() if c is None]}
 
 

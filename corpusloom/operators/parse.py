@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from ..schema import PRETRAINING_SCHEMA, SFT_SCHEMA
+from .normalize import Source, to_pretraining
+
 
 def blank_answers(messages: Column, turn: StructType) -> Column:
     """Assistant messages with empty content: tool_calls stay, reasoning_content becomes empty where it was there, other fields become null.  Other roles are untouched."""
@@ -43,3 +46,12 @@ def select_records(df: DataFrame, ordinal: str, index: int | None = None, start:
     out = out if start is None else out.where(at >= start)
     out = out if end is None else out.where(at < end)
     return out.where(F.coalesce(F.size("tools"), F.lit(0)) > 0) if has_tools else out
+
+
+def parse_as(df: DataFrame, schema: StructType, source: str = "parse") -> DataFrame:
+    """Conversations are parsed to prompts, pretraining documents are normalised."""
+    if schema == SFT_SCHEMA:
+        return prompts(df)
+    if schema == PRETRAINING_SCHEMA:
+        return to_pretraining(df, Source(source))
+    raise ValueError("neither of the two schemas")

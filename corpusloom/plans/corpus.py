@@ -74,9 +74,12 @@ def exact_dedup_classes(spark, folder):
     return dedup.exact_classes(documents(spark, folder), "doc_id", T.normal_text(F.col("text")))
 
 
-@query()
+@query(f"""with recursive w as (select doc_id, [x for x in string_split(lower(coalesce({SPACED}, '')), ' ') if x <> ''] as ws from documents),
+s as (select distinct doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') as sh from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w)), c as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b using (sh) where a.doc_id <> b.doc_id group by 1, 2), e as (select x, y from p join c cx on cx.doc_id = x join c cy on cy.doc_id = y where k >= 0.8 * (cx.n + cy.n - k)),
+r as (select doc_id as a, doc_id as b from c union select r.a, e.y from r join e on e.x = r.b) select a as doc_id, min(b) as class_id, a = min(b) as keep from r group by a""")
 def near_duplicates(spark, folder):
-    """Class of each document: five words to a shingle, similarity 0.8."""
+    """Class of each document: five words to a shingle, similarity 0.8.  The SQL compares all pairs."""
     return dedup.near_duplicates(documents(spark, folder), "doc_id", "text")
 
 

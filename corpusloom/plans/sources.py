@@ -52,7 +52,7 @@ def jsonl_round_trip(spark, folder):
     return readers.load(spark, path).select("doc_id", "text", "lang", "n_chars")
 
 
-@query("select count(*) filter (json_valid(body)) as records, count(*) filter (not json_valid(body)) as malformed from tool_structure_variations where body is not null")
+@query("select count(*) filter (json_valid(body)) as records, count(*) filter (not json_valid(body) and trim(body) <> '') as malformed from tool_structure_variations where body is not null")
 def feed_line_counts(spark, folder):
     path = _feed(spark, folder)
     return spark.createDataFrame([(readers.count_records(spark, path), readers.malformed_lines(spark, path))], "records long, malformed long")
@@ -225,7 +225,7 @@ def adapt_unified(spark, folder):
     return _said(adapters.choose_adapter(df, "parquet", "same")(df, "same"), "agent", "run_id")
 
 
-@query(f"select {_TOLD} as turns, 'lab' as model_provider, uuid as run_id, 'chats' as source_dataset from empty_content")
+@query(f"select coalesce({_TOLD}, '') as turns, 'lab' as model_provider, uuid as run_id, 'chats' as source_dataset from empty_content")
 def adapt_messages(spark, folder):
     """Turns given as a JSON string."""
     df = read(spark, folder, "empty_content").select(F.to_json("messages").alias("messages"), F.struct(F.lit("lab/m2").alias("model"), F.col("uuid").alias("prompt_id")).alias("metadata"))
@@ -379,7 +379,8 @@ def pack_accounts_words(spark, folder):
 @query("select doc_id, greatest(1, ceil(n / 31.0))::bigint as chunks, least(n, 31)::bigint as longest from (select doc_id, " + _WORDS_OF + " as n from documents)")
 def document_chunks(spark, folder):
     words = F.filter(F.split(F.coalesce(T.normal_text(F.col("text")), F.lit("")), " "), lambda w: w != "")
-    docs = documents(spark, folder).select("doc_id", pack.split_document(F.transform(words, F.length), 32).alias("c"))
+    sized = documents(spark, folder).select("doc_id", F.transform(words, F.length).alias("ids"))
+    docs = sized.select("doc_id", pack.split_document(F.col("ids"), 32).alias("c"))
     return docs.select("doc_id", F.size("c").cast("long").alias("chunks"), F.array_max(F.transform("c", F.size)).cast("long").alias("longest"))
 
 
@@ -401,10 +402,10 @@ def token_counts(spark, folder):
 
 
 def _mixable(spark: SparkSession, folder: str) -> str:
-    """A folder with two sources: a CSV one and a JSONL one."""
+    """A folder with two sources: a CSV one and a Parquet one."""
     path = _path(spark, "mix")
     documents(spark, folder).select(F.col("lang").alias("prompt"), F.col("source").alias("completion")).coalesce(1).write.option("header", True).csv(f"{path}/pairs/a.csv")
-    read(spark, folder, "empty_content").select("messages", "uuid").write.option("ignoreNullFields", False).json(f"{path}/chats/b.jsonl")
+    read(spark, folder, "empty_content").select(F.col("messages").alias("conversations"), F.col("uuid").alias("run_id")).coalesce(1).write.parquet(f"{path}/chats/b")
     return path
 
 

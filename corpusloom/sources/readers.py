@@ -56,11 +56,11 @@ def read_variant(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.try_parse_json("value").alias("v")).where("v is not null")
 
 
-def load(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """The records of a file or folder in any supported format."""
-    fmt = fmt or detect_format(path)
+def load(spark: SparkSession, path: str | list[str], fmt: str | None = None) -> DataFrame:
+    """The records of a file or folder, or of several, in any supported format."""
+    fmt = fmt or detect_format(path if isinstance(path, str) else path[0])
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(*([path] if isinstance(path, str) else path))
     if fmt == "jsonl":
         return read_jsonl(spark, path)
     if fmt == "json":

@@ -100,10 +100,19 @@ def write_tar_shards(df: DataFrame, folder: str, source: str, ids: str = "input_
     return df.where(F.col(ids).isNotNull()).mapInArrow(write, "path string, len_bin string, samples long, tokens long, bytes long")
 
 
-def as_markdown(messages: Column, title: Column) -> Column:
-    """A conversation as Markdown: roles in capitals, (empty) where nothing is said."""
+def as_markdown(messages: Column, title: Column, metadata: dict[str, Column] | None = None, tools: Column | None = None) -> Column:
+    """A conversation as Markdown: title, metadata, roles in capitals with (empty) where nothing is said, and the tools with their descriptions.
+
+    Metadata that is null is left out; tools are structs with name and function, as in the full record."""
     turn = lambda m: F.concat(F.lit("### "), F.upper(F.coalesce(m["role"], F.lit("unknown"))), F.lit("\n\n"), F.when(F.coalesce(m["content"], F.lit("")) == "", "(empty)").otherwise(m["content"]))
-    return F.concat(F.lit("# "), F.coalesce(title, F.lit("N/A")), F.lit("\n\n"), F.array_join(F.transform(F.coalesce(messages, F.array()), turn), "\n\n"))
+    parts = [F.lit("# "), F.coalesce(title, F.lit("N/A")), F.lit("\n\n")]
+    parts += [F.when(c.isNotNull(), F.concat(F.lit(f"- **{name}**: "), c.cast("string"), F.lit("\n"))).otherwise("") for name, c in (metadata or {}).items()]
+    parts += [F.lit("\n")] if metadata else []
+    parts.append(F.array_join(F.transform(F.coalesce(messages, F.array()), turn), "\n\n"))
+    if tools is not None:
+        named = lambda t: F.concat(F.lit("- `"), F.coalesce(t["name"], t["function"]["name"], F.lit("unknown")), F.lit("`: "), F.coalesce(t["description"], t["function"]["description"], F.lit("")))
+        parts.append(F.when(F.size(tools) > 0, F.concat(F.lit("\n\n## Tools\n\n"), F.array_join(F.transform(tools, named), "\n"))).otherwise(""))
+    return F.concat(*parts)
 
 
 def as_text(messages: Column, preview: int = 100) -> Column:

@@ -175,7 +175,7 @@ def test_best_fit():
 def test_packing_loses_nothing(spark):
     rng = random.Random(1)
     rows = [(str(i), f"h{i % 9}" if i % 4 else None, i % 3, 16 if i % 2 else 8, i % 5, list(range(i, i + rng.choice((0, 3, 6, 20, 40))))) for i in range(120)]
-    parts = pack.segments(spark.createDataFrame(rows, "doc_id string, host string, cluster int, context int, partition long, input_ids array<int>")).cache()
+    parts = pack.segments(spark.createDataFrame(rows, "doc_id string, host string, cluster int, context int, partition long, input_ids array<int>"), (8, 16)).cache()
     samples = pack.pack_all(parts, buckets=4)
     assert samples.where("size(segments) > 32").count() == 0
     assert pack.accounts(samples, parts).first()["complete"]

@@ -1,18 +1,22 @@
 """Nested records as flat tables that keep their parent-child links.
 
-From the schema alone, every array level becomes a table of its own; structs are folded into the
-columns of the level they are in.  A child row carries the record's key and the ordinal of every
-array element above it (from 0), so a link is an equi-join on those columns and needs no id
-that is made up at run time.
+Records that are JSON get one schema first, merged from all of them.  Every array level, and every map,
+becomes a table of its own; structs are folded into the columns of the level they are in.  A child
+row carries its record's key, its own or one that is given to it, and the ordinal of every array
+element above it (from 0), so a link is an equi-join on those columns.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructField, StructType, _parse_datatype_string
+
+from ..session import stored
 
 
 @dataclass
@@ -38,6 +42,45 @@ def _quote(*parts: str) -> str:
     return ".".join(f"`{p.replace('`', '``')}`" for p in parts if p)
 
 
+def _entries(kind: MapType) -> ArrayType:
+    return ArrayType(StructType([StructField("key", kind.keyType), StructField("value", kind.valueType)]))
+
+
+def _table_schema(merged: str) -> str:
+    """A schema as the aggregate over VARIANT values writes it, as one for from_json."""
+    out = re.sub(r"\bOBJECT<", "STRUCT<", merged)
+    out = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)(?=[,>]|$)", "DOUBLE", out)
+    return re.sub(r"(?<=[ <])(VOID|VARIANT)(?=[,>]|$)", "STRING", out).replace("STRUCT<>", "STRING")
+
+
+def merged_schema(lines: DataFrame, column: str) -> StructType:
+    """The schema that all JSON objects of a column have together, in one aggregation: fields of any record, whole and fractional numbers
+    as fractional, what differs in kind as text.  Lines that aren't JSON objects don't count."""
+    v = F.try_parse_json(column)
+    found = lines.select(v.alias("v")).where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))).agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    if found is None or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return StructType([])
+    return _parse_datatype_string(_table_schema(found))
+
+
+def records_of(lines: DataFrame, column: str, keep: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
+    """The records in a column of JSON as typed, nested columns under their merged schema, after the columns in keep (which a field of the same name gives way to, with _2 at its end).
+
+    Lines that aren't JSON objects are left out.  An empty column gives the columns in keep alone."""
+    schema = schema or merged_schema(lines, column)
+    valid = lines.where(F.startswith(F.schema_of_variant(F.try_parse_json(column)), F.lit("OBJECT")))
+    if not schema.fields:
+        return valid.select(*keep)
+    taken = {k.lower() for k in keep}
+    parsed = valid.select(*keep, F.from_json(column, schema).alias("__r"))
+    return parsed.select(*keep, *(F.col(f"__r.{_quote(f.name)}").alias(_unique(f.name, taken)) for f in schema.fields))
+
+
+def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """A surrogate key for records whose own keys repeat or are absent: the rows are stored with it, so it is the same in every table made from them."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
+
+
 def levels_of(schema: StructType, keys: list[str], root: str) -> list[Level]:
     """The tables of a schema, parents before children."""
     out: list[Level] = []
@@ -49,20 +92,24 @@ def levels_of(schema: StructType, keys: list[str], root: str) -> list[Level]:
             if isinstance(f.dataType, StructType):
                 visit(level, f.dataType, where, short, taken, names)
             elif isinstance(f.dataType, ArrayType):
-                add(level, f.dataType, where, short, names)
+                add(level, f.dataType, _quote(*where), short, names)
+            elif isinstance(f.dataType, MapType):
+                add(level, _entries(f.dataType), f"map_entries({_quote(*where)})", short, names)
             elif not (level.path == [] and f.name in keys):
                 level.columns.append((_quote(*where), _unique(short, taken)))
 
-    def add(parent: Level, kind: ArrayType, where: tuple[str, ...], short: str, names: set[str]) -> None:
+    def add(parent: Level, kind: ArrayType, where: str, short: str, names: set[str]) -> None:
         name = _unique(short if not parent.path else f"{parent.name}_{short}", names)
         ordinal = _unique(f"{name}_pos", {k.lower() for k in keys} | {o for _, o in parent.path})
-        level = Level(name, [*parent.path, (_quote(*where), ordinal)])
+        level = Level(name, [*parent.path, (where, ordinal)])
         out.append(level)
         taken = {k.lower() for k in keys} | {o.lower() for _, o in level.path}
         if isinstance(kind.elementType, StructType):
             visit(level, kind.elementType, ("_it",), "", taken, names)
         elif isinstance(kind.elementType, ArrayType):
-            add(level, kind.elementType, ("_it",), "items", names)
+            add(level, kind.elementType, "`_it`", "items", names)
+        elif isinstance(kind.elementType, MapType):
+            add(level, _entries(kind.elementType), "map_entries(`_it`)", "entries", names)
         else:
             level.columns.append(("_it", _unique("value", taken)))
 
@@ -79,7 +126,7 @@ def flat_tables(df: DataFrame, keys: list[str], root: str = "records") -> dict[s
     one ordinal column for each array above it, and its elements' columns.  Null and empty arrays
     give no rows; null elements give a row of nulls, so that ordinals stay true.  Names that clash,
     also in case, get a number.  keys must identify a row; rows that share them are each flattened
-    for itself but can't be told apart.  Nothing is shuffled: each table is one pass over the columns
+    for itself but can't be told apart: with_row_key gives them a key.  A map is an array of keys and values.  Nothing is shuffled: each table is one pass over the columns
     it needs.
     """
     out = {}

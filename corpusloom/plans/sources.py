@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.running import ordinal_by_key
-from ..operators import adapters, dedup, diff, explore, filters, manifest, mix, pack, parse, sampling, topics
+from ..operators import adapters, dedup, diff, explore, filters, flatten, manifest, mix, pack, parse, sampling, topics
 from ..schema import PRETRAINING_SCHEMA, conform, conformance
 from ..session import shared_dir, stored
 from ..sources import discovery, readers, sinks
@@ -413,3 +413,10 @@ def _mixable(spark: SparkSession, folder: str) -> str:
 def mixed_files(spark, folder):
     """Files of two shapes found below a folder, each through its adapter."""
     return mix.mix(spark, _mixable(spark, folder)).groupBy("source_dataset").agg(F.count("*").alias("n"))
+
+
+@query("""select record_no, i::int as messages_pos, json_extract_string(body, '$.messages[' || i || '].role') as "role" from (select record_no, body, unnest(range(json_array_length(body, '$.messages')::bigint)) as i from dict_content where json_valid(body) and json_type(body) = 'OBJECT' and json_type(body, '$.messages') = 'ARRAY')""")
+def json_messages(spark, folder):
+    """The messages of raw JSON records as a table, under the schema merged from all of them."""
+    lines = read(spark, folder, "dict_content").select("record_no", "body")
+    return flatten.flat_tables(flatten.records_of(lines, "body", ["record_no"]), ["record_no"])["messages"].select("record_no", "messages_pos", "role")

@@ -45,3 +45,28 @@ def test_tables_keep_links_and_clashing_names(spark):
     assert [tuple(r) for r in tables["X_items"].collect()] == [(1, 0, "b")]
     assert tables["X_items"].columns == ["k", "X_items_pos", "K_2"]
     assert sorted(tuple(r) for r in tables["X_items_ns"].collect()) == [(1, 0, 0, 1), (1, 0, 1, 2)]
+
+
+def test_json_records_get_one_merged_schema(spark):
+    lines = ['{"id": 1, "a": {"b": [{"c": 1}, {"c": 2.5, "d": [1, 2]}]}, "x": "t"}', '{"id": 2, "a": {"b": []}, "x": 7, "m": null}', "no json", "[1]", None, '{"id": 3, "e": {}, "KEY": true}', '{"id": 3, "e": {}, "KEY": true}']
+    df = spark.createDataFrame([(i % 5, x) for i, x in enumerate(lines)], "key int, body string")
+    schema = flatten.merged_schema(df, "body")
+    assert schema.simpleString().lower() == "struct<key:boolean,a:struct<b:array<struct<c:double,d:array<bigint>>>>,e:string,id:bigint,m:string,x:string>"
+    records = flatten.with_row_key(flatten.records_of(df, "body", ["key"]))
+    assert records.columns == ["key", "KEY_2", "a", "e", "id", "m", "x", "row_key"] and records.count() == 4
+    tables = flatten.flat_tables(records, ["row_key"])
+    assert set(tables) == {"records", "a_b", "a_b_d"}
+    assert tables["records"].select("row_key").distinct().count() == 4  # the last two are alike but for their key
+    items = tables["a_b"].join(tables["records"].select("row_key", "id", "x"), "row_key")
+    assert sorted((r["id"], r["a_b_pos"], r["c"]) for r in items.collect()) == [(1, 0, 1.0), (1, 1, 2.5)]
+    assert [(r["a_b_pos"], r["a_b_d_pos"], r["value"]) for r in tables["a_b_d"].orderBy("a_b_d_pos").collect()] == [(1, 0, 1), (1, 1, 2)]
+    nothing = df.where("false")
+    assert flatten.merged_schema(nothing, "body").fields == [] and flatten.records_of(nothing, "body", ["key"]).columns == ["key"]
+
+
+def test_maps_are_tables(spark):
+    df = spark.createDataFrame([(1, {"a": [1, 2], "b": None}, [{"x": 1}]), (2, None, [])], "k int, m map<string,array<int>>, l array<map<string,int>>")
+    tables = flatten.flat_tables(df, ["k"])
+    assert sorted((r["k"], r["m_pos"], r["key"]) for r in tables["m"].collect()) == [(1, 0, "a"), (1, 1, "b")]
+    assert sorted((r["k"], r["m_pos"], r["m_value_pos"], r["value"]) for r in tables["m_value"].collect()) == [(1, 0, 0, 1), (1, 0, 1, 2)]
+    assert [(r["key"], r["value"]) for r in tables["l_entries"].collect()] == [("x", 1)]

@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
 def _path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark).rstrip('/')}/corpusloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _feed(spark: SparkSession, folder: str) -> str:

@@ -39,11 +39,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{local}"
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/corpusloom/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove every table that stored() wrote for this application.  For the end of a job: results that read one are gone with it."""
+    _delete(spark, _own_dir(spark))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends there, so the loss of an
     executor costs at most the tasks that were running."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -53,8 +67,7 @@ def drop(df: DataFrame) -> None:
     spark = df.sparkSession
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/corpusloom/" in path:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(spark, path)
 
 
 def preflight(spark: SparkSession, tasks: int = 8) -> DataFrame:

@@ -1,6 +1,7 @@
 """Runs: markers, inventories, metrics, sweeps, file systems; and the command line's statuses."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,20 @@ def test_small_helpers(spark):
     tools = spark.createDataFrame([("t", "L", [("n", None, ("f", "d"))])], "title string, license string, tools array<struct<name:string,description:string,function:struct<name:string,description:string>>>")
     said = tools.select(sinks.as_markdown(F.lit(None).cast("array<struct<role:string,content:string>>"), F.col("title"), {"license": F.col("license")}, F.col("tools"))).first()[0]
     assert said == "# t\n\n- **license**: L\n\n\n\n## Tools\n\n- `n`: d"
+
+
+def test_stored_tables_are_removed():
+    import subprocess
+    import sys
+
+    code = """
+import os
+from corpusloom.session import clear, session, shared_dir, stored
+s = session('clear', **{'spark.master': 'local[1]'})
+kept = stored(s.range(5), 'five')
+folder = shared_dir(s).removeprefix('file://') + '/corpusloom/' + s.sparkContext.applicationId
+assert kept.count() == 5 and len(os.listdir(folder)) == 1
+clear(s)
+assert not os.path.exists(folder)
+"""
+    assert subprocess.run([sys.executable, "-c", code], timeout=120, capture_output=True, env={**os.environ, "PYTHONPATH": os.getcwd()}).returncode == 0

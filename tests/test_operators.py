@@ -118,18 +118,18 @@ def test_exact_report_counts_null_texts_as_one(spark):
 
 
 def test_manifest_and_mixture(spark):
-    rows = [("code", "stack", "x", 100), ("code", "stack", "x", 9000), ("code", "stack", None, 500_000), ("general_web", "c4", None, 42), (None, None, None, None)]
+    rows = [("poems", "attic", "odes", 7), ("poems", "attic", "odes", 8193), ("poems", "attic", None, 300_001), ("letters", "post", None, 8192), (None, None, None, None)]
     df = spark.createDataFrame(rows, "domain string, source_dataset string, subdomain string, token_count long")
     cells = manifest.cells(df)
     assert cells.count() == 5 and manifest.from_json(spark, manifest.to_json(cells)).exceptAll(cells).count() == 0
-    tree = {"8192": {"share": 1.0, "domains": {"a": {"share": 0.6}, "b": {"share": 0.4}}}}
-    capacity = spark.createDataFrame([(8192, "a", "x", 900), (8192, "b", "x", 100)], "len_bucket long, domain string, subdomain string, n_tokens long")
-    checked = {r["domain"]: r for r in manifest.check_mixture(capacity, manifest.parse_mixture(tree), 1000).collect()}
-    assert (checked["a"]["shortfall"], checked["b"]["shortfall"], checked["a"]["bin_ok"]) == (0, 300, False)
+    tree = {"64": {"share": 1.0, "domains": {"poems": {"share": 0.35}, "letters": 0.65}}}
+    capacity = spark.createDataFrame([(64, "poems", "odes", 520), (64, "letters", "notes", 230)], "len_bucket long, domain string, subdomain string, n_tokens long")
+    checked = {r["domain"]: r for r in manifest.check_mixture(capacity, manifest.parse_mixture(tree), 600).collect()}
+    assert (checked["poems"]["shortfall"], checked["letters"]["shortfall"], checked["poems"]["bin_ok"]) == (0, 160, False)  # 0.65 x 600 - 230
     assert manifest.check_mixture(capacity, manifest.parse_mixture(tree), 0).where("need > 0").count() == 0
     assert not manifest.satisfiable(manifest.check_mixture(capacity, manifest.parse_mixture(tree)))
     with pytest.raises(ValueError):
-        manifest.parse_mixture({"8192": {"share": 0.5}})
+        manifest.parse_mixture({"64": {"share": 0.5}})
 
 
 def test_reasons(spark):

@@ -133,7 +133,18 @@ def mix_dry_run(spark, folder):
     return mix.dry_run(_mixed(spark, folder))
 
 
-@query()
+_AT = "'[' || i || ']"
+_EACH = "select record_no, i - 1 as i, messages[i] as m from (select record_no, messages, unnest(range(1, len(messages) + 1)) as i from full_records)"
+_CALL = "select record_no, i, j - 1 as j, m.tool_calls[j] as c from (select *, unnest(range(1, len(m.tool_calls) + 1)) as j from m)"
+
+
+@query(f"""with m as ({_EACH}), c as ({_CALL}) select record_no, '' as path, 'unchanged' as state from full_records where messages is null
+union all select record_no, {_AT}', 'unchanged' from m where m is null union all select record_no, {_AT}.role', 'unchanged' from m where m.role is not null
+union all select record_no, {_AT}.content', case when coalesce(m.role, '') <> 'assistant' or m.content = '' then 'unchanged' when m.content is null then 'added' else 'changed' end from m where m.content is not null or m.role = 'assistant'
+union all select record_no, {_AT}.reasoning_content', case when m.role = 'assistant' and m.reasoning_content <> '' then 'changed' else 'unchanged' end from m where m.reasoning_content is not null
+union all select record_no, {_AT}.tool_call_id', case when m.role = 'assistant' then 'removed' else 'unchanged' end from m where m.tool_call_id is not null
+union all select record_no, {_AT}.tool_calls[' || j || ']', 'unchanged' from c where c is null
+union all select record_no, {_AT}.tool_calls[' || j || '].' || f.name, 'unchanged' from (select record_no, i, j, unnest([{{'name': 'id', 'v': c.id}}, {{'name': 'type', 'v': c."type"}}, {{'name': 'function.name', 'v': c."function"."name"}}, {{'name': 'function.arguments', 'v': c."function".arguments}}]) as f from c) where f.v is not null""")
 def record_diff(spark, folder):
     """What blanking the answers changes in each record, by path."""
     df = records(spark, folder)

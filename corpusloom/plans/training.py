@@ -23,6 +23,11 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return drift.unified_records(_feeds(spark, folder))
 
 
+def p1_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The fields of each file, as the profiles have them that changes are told from."""
+    return drift.profiles(_feeds(spark, folder)).where("field_path is not null").select("table_name", "file_path", "field_path").distinct()
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return flatten.call_links(read(spark, folder, "full_records"))
 
@@ -34,7 +39,7 @@ def _flat(name: str):
     return query
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found} | {
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p1_fields": p1_fields, "p2_found": p2_found} | {
     f"p2_{short}": _flat(name) for short, name in (("records", "records"), ("messages", "messages"), ("calls", "messages_tool_calls"), ("tools", "tools"), ("used_in", "used_in"))
 }
 
@@ -47,7 +52,21 @@ def _tidy(column: str) -> str:
     return f"nullif(lower(regexp_replace({column}, '^[\\s\\p{{Z}}\\x00-\\x1f\\x85]+|[\\s\\p{{Z}}\\x00-\\x1f\\x85]+$', '', 'g')), '')"
 
 
+_LINES = " union all ".join(f"select '{n}' as table_name, file_path, body from {n} where json_valid(body) and json_type(body) = 'OBJECT'" for n in ("tool_structure_variations", "dict_content"))
+
+
+def _members(name: str) -> str:
+    """The objects in a field of the lines, one or several."""
+    listed = f"case json_type(body, '$.{name}') when 'ARRAY' then json_extract(body, '$.{name}[*]') else [json_extract(body, '$.{name}')] end"
+    return f"(select table_name, file_path, x from (select table_name, file_path, unnest({listed}) as x from l) where json_type(x) = 'OBJECT')"
+
+
 ORACLES = {
+    "p1_fields": f"""with l as ({_LINES}) select distinct table_name, file_path, field_path from (
+select table_name, file_path, unnest(json_keys(body)) as field_path from l union all select table_name, file_path, 'messages.' || unnest(json_keys(x)) from {_members('messages')}
+union all select table_name, file_path, 'tools.' || unnest(json_keys(x)) from {_members('tools')}
+union all select table_name, file_path, 'tools.function.' || unnest(json_keys(json_extract(x, '$.function'))) from {_members('tools')} where json_type(x, '$.function') = 'OBJECT'
+) where field_path not in ('messages', 'tools', 'tools.function')""",
     "p2_records": "select record_no, uuid, license, reasoning, received_at from full_records",
     "p2_messages": f'select record_no, messages_pos::int as messages_pos, m.role as "role", m.content as content, m.reasoning_content as reasoning_content, m.tool_call_id as tool_call_id from ({_MESSAGES})',
     "p2_calls": f'select record_no, messages_pos::int as messages_pos, messages_tool_calls_pos::int as messages_tool_calls_pos, c.id as id, c."type" as "type", c."function"."name" as function_name, c."function".arguments as function_arguments from ({_CALLS})',

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import ElementwiseProduct, HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
@@ -21,6 +22,9 @@ WORD_DIMS, PIECE_DIMS, WORD_WEIGHT, PIECE_WEIGHT = 262_144, 131_072, 0.8, 0.2
 CLUSTERS, FIT_DOCUMENTS, QUALITY_DOCUMENTS = 128, 1_000_000, 200_000
 MAX_SHARE, MIN_SHARE = 0.35, 1e-6
 
+#: Rows whose products are made at a time when clusters are assigned.
+ROWS = 256
+
 
 def document_id(row: list[Column], otherwise: Column) -> Column:
     """The first id that isn't empty or 0, else a hash."""
@@ -65,6 +69,23 @@ def fit(vectors: DataFrame, row: str, k: int = CLUSTERS, documents: int = FIT_DO
     return KMeans(k=k, seed=seed, maxIter=rounds, featuresCol="features", predictionCol="cluster").fit(sample)
 
 
+def _products(vectors: pa.StructArray, by_feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(dot products of each vector with each centre, the vectors' own squares), some hundred rows at a time; a vector without indices is dense."""
+    n, dims = len(vectors), np.arange(len(by_feature))
+    at, values = vectors.field("indices"), vectors.field("values")
+    sizes = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = values.flatten().to_numpy(zero_copy_only=False)
+    where = at.flatten().to_numpy(zero_copy_only=False) if not at.null_count else np.concatenate([dims if x is None else np.asarray(x, np.int64) for x in at.to_pylist()])
+    ends = np.append(0, np.cumsum(sizes))
+    dots, own = np.zeros((n, by_feature.shape[1])), np.bincount(np.repeat(np.arange(n), sizes), flat * flat, n)
+    for a in range(0, n, ROWS):
+        rows = np.flatnonzero(sizes[a : a + ROWS]) + a
+        if len(rows):
+            lo, hi = ends[a], ends[min(a + ROWS, n)]
+            dots[rows] = np.add.reduceat(by_feature[where[lo:hi]] * flat[lo:hi, None], ends[rows] - lo, axis=0)
+    return dots, own
+
+
 def assign(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     """Columns but the features, with `cluster` and `distance` to its centre.
 
@@ -79,14 +100,10 @@ def assign(vectors: DataFrame, model: KMeansModel) -> DataFrame:
         by_feature = sent.value
         square = (by_feature.astype(np.float64) ** 2).sum(0)
         for b in batches:
-            v = b.column("features")
-            cluster, distance = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
-            for i, (at, values) in enumerate(zip(v.field("indices"), v.field("values"), strict=True)):
-                x = np.asarray(values.values.to_numpy(zero_copy_only=False))
-                rows = by_feature[np.asarray(at.values.to_numpy(zero_copy_only=False))] if at.is_valid else by_feature
-                away = square - 2 * (x @ rows) + x @ x
-                cluster[i] = int(away.argmin())
-                distance[i] = float(np.sqrt(max(away[cluster[i]], 0.0)))
+            dots, own = _products(b.column("features"), by_feature)
+            away = square - 2 * dots + own[:, None]
+            cluster = away.argmin(1).astype(np.int32)
+            distance = np.sqrt(np.maximum(away[np.arange(len(cluster)), cluster], 0.0))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(cluster), pa.array(distance)], [*kept, "cluster", "distance"])
 
     return vectors.select(*kept, "features").mapInArrow(run, schema)

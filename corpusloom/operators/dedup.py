@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,12 @@ from ..session import drop, stored
 WORDS, SIMILAR = 5, 0.8
 #: Entries of the frequency table, as a power of two: 4 MB; it only moves cost, not results.
 TABLE_BITS = 20
+#: Ranges its counts are added up by, and bits of the bitmap of rows whose sets are compared, as a power of two: 2 MB.
+SPANS, BITMAP_BITS = 16, 24
+#: Odd factors of the words of a run.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 #: Rows of a bucket up to which its pairs are listed, and rows of a block of a larger one.
-LISTED, BLOCK_ROWS = 32, 3_000
+LISTED, BLOCK_ROWS = 256, 3_000
 
 
 def exact_report(df: DataFrame, text: Column) -> DataFrame:
@@ -52,57 +58,112 @@ def first_rows(df: DataFrame, row: str, text: Column, keep: list[Column]) -> Dat
     return kept.groupBy("h").agg(F.min("r").alias("r")).select("r.*")
 
 
-def with_shingles(df: DataFrame, text: str, into: str = "shingles", words: int = WORDS) -> DataFrame:
-    """Adds the distinct 64-bit hashes of runs of five words of a normalised text, in lower case; a shorter text is one run.
-
-    The words are a column of their own, or each run would split the text again."""
-    split = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), " "), lambda x: x != "")
-    w = F.col("__words")
-    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - words, F.lit(0)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, words), " ")))
-    return df.withColumn("__words", split).withColumn(into, F.array_distinct(runs)).drop("__words")
+def _runs(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash): 64-bit hashes of the runs of five words of each text, words parted by one space; a shorter text is one run."""
+    split = pc.split_pattern(texts, " ")
+    count = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = split.flatten().dictionary_encode()
+    names = b"".join(blake2b(w.encode(), digest_size=8).digest() for w in flat.dictionary.to_pylist())
+    code = np.append(np.frombuffer(names, np.uint64)[flat.indices.to_numpy(zero_copy_only=False)], np.zeros(words, np.uint64))
+    runs, ends = np.maximum(count - words + 1, 1), np.cumsum(count)
+    doc = np.repeat(np.arange(len(count)), runs)
+    at = np.arange(len(doc)) + ((ends - count) - (np.cumsum(runs) - runs))[doc]
+    out = np.zeros(len(doc), np.uint64)
+    for i in range(words):
+        out += np.where(at + i < ends[doc], code[at + i], np.uint64(0)) * np.uint64(FACTORS[i])
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        out = (out ^ (out >> np.uint64(33))) * np.uint64(factor)
+    return doc, out ^ (out >> np.uint64(33))
 
 
 def _places(shingles: np.ndarray) -> np.ndarray:
-    return (shingles.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    return (shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << TABLE_BITS, np.int64)
+    counts = np.zeros(1 << TABLE_BITS, np.uint32)
     for b in batches:
-        counts += np.bincount(_places(b.column("shingles").flatten().to_numpy(zero_copy_only=False)), minlength=len(counts))
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["place", "n"])
+        counts += np.bincount(_places(_runs(b.column("text"))[1]), minlength=len(counts)).astype(np.uint32)
+    spans = np.split(counts, SPANS)
+    yield pa.RecordBatch.from_arrays([pa.array(range(SPANS), pa.int32()), pa.array([x.tobytes() for x in spans], pa.binary())], ["span", "n"])
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = np.zeros((1 << TABLE_BITS) // SPANS, np.uint64)
+    for n in table.column("n"):
+        total += np.frombuffer(n.as_py(), np.uint32)
+    return pa.table({"span": table.column("span")[:1], "n": pa.array([np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())})
 
 
-def _frequencies(sets: DataFrame) -> np.ndarray:
+def _frequencies(texts: DataFrame) -> bytes:
     """How often shingles occur, over all rows, in a table of fixed size."""
-    got = sets.select("shingles").mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(1 << TABLE_BITS, np.uint32)
-    table[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), (1 << 32) - 1)
-    return table
+    got = texts.select("text").mapInArrow(_counted, "span int, n binary").groupBy("span").applyInArrow(_added, "span int, n binary").collect()
+    found = {r["span"]: bytes(r["n"]) for r in got}
+    return b"".join(found.get(i, bytes((4 << TABLE_BITS) // SPANS)) for i in range(SPANS))
 
 
 def _prefixes(table, similar: float):
-    """Row, number of shingles, and each shingle of the prefix: two sets as similar as that share one of their rarest
+    """Row, number of shingles, and each shingle of the prefix with its place in the set's order: two sets as similar as that share one of their rarest
     n - ceil(similar * n) + 1 shingles, in any order that is the same for all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(table.value, np.uint32)
         for b in batches:
-            shingles = b.column("shingles")
-            flat = shingles.flatten().to_numpy(zero_copy_only=False)
-            n = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((flat, often[_places(flat)], doc))
+            doc, flat = _runs(b.column("text"))
+            order = np.lexsort((flat, doc << 32 | often[_places(flat)]))
+            doc, flat = doc[order], flat[order]
+            first = np.append(True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
+            doc, flat = doc[first], flat[first]
+            n = np.bincount(doc, minlength=b.num_rows)
             prefix = n - np.ceil(similar * n - 1e-9).astype(np.int64) + 1
-            order = order[np.arange(len(order)) - (np.cumsum(n) - n)[doc] < prefix[doc]]
-            of = doc[order]
-            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(of)), pa.array(n[of].astype(np.int32)), pa.array(flat[order])], ["row", "size", "key"])
+            at = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+            kept = at < prefix[doc]
+            of = doc[kept]
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(of)), pa.array(n[of].astype(np.int32)), pa.array(at[kept].astype(np.int32)), pa.array(flat[kept].view(np.int64))], ["row", "size", "at", "key"])
 
     return run
 
 
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by key, whose key the row before or after has too; only one row is held back."""
+    held, hit = None, False
+    for b in batches:
+        if not b.num_rows:
+            continue
+        b = b if held is None else pa.concat_batches([held, b])
+        key = b.column("key").to_numpy()
+        same = np.append(key[1:] == key[:-1], False)
+        both = same | np.append(hit, same[:-1])
+        yield b.slice(0, b.num_rows - 1).filter(pa.array(both[:-1]))
+        held, hit = b.slice(b.num_rows - 1), bool(both[-1])
+    if hit:
+        yield held
+
+
+def _sets_of(wanted: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """(row, shingles) of the wanted rows, and of a few others: a bitmap of fixed size picks them, so texts are never shuffled."""
+    place = F.pmod(F.xxhash64("row"), F.lit(1 << BITMAP_BITS))
+    bits = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 32 as int)))").alias("bits")).toArrow()
+    words = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
+    words[bits.column("word").to_numpy()] = bits.column("bits").to_numpy().astype(np.uint32)
+    sent = texts.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.frombuffer(sent.value, np.uint32)
+        for b in batches:
+            p = b.column("p").to_numpy()
+            b = b.filter(pa.array((marked[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1))
+            if b.num_rows:
+                doc, flat = _runs(b.column("text"))
+                order = np.lexsort((flat, doc))
+                doc, flat = doc[order], flat[order]
+                first = np.append(True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1]))
+                ends = np.append(0, np.cumsum(np.bincount(doc[first], minlength=b.num_rows))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[first].view(np.int64)))], ["row", "shingles"])
+
+    return texts.select("row", place.alias("p"), "text").mapInArrow(run, f"row {kind}, shingles array<bigint>")
+
+
 def _linker(similar: float):
     """Links (a, b) that connect all rows of a bucket, or of two of its blocks, that chains of similar pairs connect."""
 
@@ -138,30 +199,42 @@ def near_duplicates(df: DataFrame, row: str, text: str, similar: float = SIMILAR
 
     Exact copies are one row from the start.  Rows whose sets of five-word shingles have a Jaccard similarity
     of `similar` or more share a shingle of their prefixes, so comparing all rows of each such bucket misses
-    no link.  Pairs of small buckets are listed, each once; large buckets are connected block by block.  Classes are the
+    no link.  Pairs of small buckets are listed, each once, and those that share too few shingles of their prefixes to be
+    that similar are left out; only the rest have their sets compared.  Large buckets are connected block by block.  Classes are the
     connected components.  Null and empty texts are one class.  row must be unique and castable to string order."""
-    base = df.select(F.col(row).alias("row"), normal_text(F.col(text)).alias("text"))
-    copies = exact_classes(base, "row", F.col("text"))
-    lead = base.join(copies.where("row = keep").select("row"), "row", "left_semi")
-    sets = stored(with_shingles(lead, "text").select("row", "shingles"), "shingles")
-    kind = dict(base.dtypes)["row"]
-    table = sets.sparkSession.sparkContext.broadcast(_frequencies(sets).tobytes())
-    prefixes = stored(sets.mapInArrow(_prefixes(table, similar), f"row {kind}, size int, key bigint"), "prefixes")
-    several = prefixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(prefixes.join(several, "key"), "buckets")
-    listed = members.where(F.col("n") <= LISTED).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("row", "size"))).alias("m")).select("m").distinct()
+    kind = dict(df.select(F.col(row)).dtypes)[row]
+    normal = df.select(F.col(row).alias("row"), normal_text(F.col(text)).alias("text"))
+    texts = stored(normal.select("row", text_hash(F.col("text")).alias("h"), F.lower(F.coalesce("text", F.lit(""))).alias("text")), "texts")
+    copies = stored(exact_classes(texts, "row", F.col("h")), "copies")
+    table = texts.sparkSession.sparkContext.broadcast(_frequencies(texts))
+    entry = f"row {kind}, size int, at int, key bigint"
+    prefixes = texts.select("row", "text").mapInArrow(_prefixes(table, similar), entry)
+    shared = stored(prefixes.repartition("key").sortWithinPartitions("key").mapInArrow(_several, entry), "shared")
+    led = stored(shared.join(copies.where("row = keep").select("row"), "row", "left_semi"), "led")
+    drop(shared)
+    members = stored(led.join(led.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"), "buckets")
+    drop(led)
+    listed = members.where(F.col("n") <= LISTED).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("row", "size", "at"))).alias("m"))
     each = listed.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y")).where("x.row < y.row")
-    stars = each.where(F.least("x.size", "y.size") >= similar * F.greatest("x.size", "y.size") - 1e-9).select(F.col("x.row").alias("lead"), F.col("y.row").alias("row")).distinct()
+    sized = each.where(F.least("x.size", "y.size") >= similar * F.greatest("x.size", "y.size") - 1e-9)
+    placed = sized.where(F.least("x.at", "y.at") + F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")) >= similar / (1 + similar) * (F.col("x.size") + F.col("y.size")) - 1e-9)
+    counted = placed.groupBy(F.col("x.row").alias("lead"), F.col("y.row").alias("row"), F.col("x.size").alias("u"), F.col("y.size").alias("v")).agg(F.count("*").alias("c"), F.max("x.at").alias("i"), F.max("y.at").alias("j"))
+    # what else a pair shares comes, in both sets, after the last shingle that their prefixes share, and after one of the prefixes; a pair that shares a large bucket too is connected there
+    least = F.ceil(similar / (1 + similar) * (F.col("u") + F.col("v")) - 1e-9)
+    stars = stored(counted.where(F.col("c") + F.least(F.col("u") - F.col("i"), F.col("v") - F.col("j"), F.ceil(similar * F.greatest("u", "v") - 1e-9)) - 1 >= least).select("lead", "row"), "pairs")
+    large = members.where(F.col("n") > LISTED)
+    sets = stored(_sets_of(stars.select("row").unionByName(stars.select(F.col("lead").alias("row"))).unionByName(large.select("row")), texts, kind), "shingles")
+    drop(texts)
     left = stars.join(sets, "row").select("row", "lead", F.col("shingles").alias("s"))
     both = left.join(sets.select(F.col("row").alias("lead"), F.col("shingles").alias("t")), "lead")
-    large = members.where(F.col("n") > LISTED).withColumn("parts", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    large = large.withColumn("parts", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     meeting = large.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "row", F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j")).join(sets, "row")
     chained = meeting.groupBy("key", "i", "j").applyInPandas(_linker(similar), f"a {kind}, b {kind}")
     shared = F.size(F.array_intersect("s", "t"))
     direct = both.where(shared >= similar * (F.size("s") + F.size("t") - shared)).select(F.col("row").alias("a"), F.col("lead").alias("b"))
     links = stored(direct.unionByName(chained), "links")
     classes = components(links)
-    for done in (sets, prefixes, members):
+    for done in (members, stars, sets):
         drop(done)
     named = copies.join(classes.select(F.col("node").alias("keep"), "component"), "keep", "left").select("row", F.coalesce("component", "keep").alias("class_id"))
     return named.select(F.col("row").alias(row), "class_id", (F.col("row") == F.col("class_id")).alias("keep"))

@@ -105,6 +105,35 @@ def test_near_duplicates_lose_no_link(spark, monkeypatch, listed, block):
     assert got == dict(enumerate(lead)) and len(set(lead)) > 12
 
 
+def test_near_duplicates_compare_few_sets_and_leave_no_shuffles(spark, monkeypatch):
+    import os
+
+    rng = random.Random(5)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(8)) for i in range(40)]
+    texts = [" ".join(x for k in range(30) for x in (f"t{t}k{k}", *rng.choice(phrases).split(), f"t{t}x{k}")) for t in range(200)]
+    texts += [t + " changed" for t in texts[:5]]
+    kept, read = dedup.stored, {}
+    monkeypatch.setattr(dedup, "stored", lambda df, name: read.setdefault(name, kept(df, name)))
+    monkeypatch.setattr(dedup, "drop", lambda df: None)
+    monkeypatch.setattr(dedup, "components", lambda links: links.selectExpr("a as node", "least(a, b) as component"))
+    dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text")
+    assert read["shingles"].count() <= 20 and read["links"].count() == 5
+    files = lambda: {f for d, _, fs in os.walk(spark.conf.get("spark.local.dir", "/tmp")) if "blockmgr" in d for f in fs if f.startswith("shuffle_")}
+    before = files()
+    kept(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts")
+    assert not files() - before
+
+
+def test_rows_whose_key_another_has_too():
+    import pyarrow as pa
+
+    keys = [1, 1, 2, 3, 3, 3, 4, 5, 5, 6]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(keys)], ["row", "key"])
+    for n in (1, 2, 3, 10):
+        got = [r for b in dedup._several(iter([whole.slice(i, n) for i in range(0, 10, n)])) for r in b.column("row").to_pylist()]
+        assert got == [0, 1, 3, 4, 5, 7, 8]
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     hub = [(1, i) for i in range(2, 40)]

@@ -258,3 +258,20 @@ def test_topic_clusters(spark):
     assert placed.count() == 60 and placed.agg(F.max("physical_partition")).first()[0] < 8
     with pytest.raises(ValueError):
         topics.fit(vectors, "doc_id", k=100)
+
+
+def test_the_driver_never_has_all_centres(spark, monkeypatch):
+    from corpusloom.operators import topics
+
+    monkeypatch.setattr(topics, "AT_ONCE", 2)
+    seen, some = [], topics.Centres._some
+    monkeypatch.setattr(topics.Centres, "_some", lambda self, first: seen.append(some(self, first)) or seen[-1])
+    rows = [(i, " ".join(f"t{i % 5}w{(i * j) % 11}" for j in range(1, 15))) for i in range(80)]
+    vectors = topics.features(topics.prepared(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id")).select("doc_id", "features").cache()
+    model = topics.fit(vectors, "doc_id", k=5)
+    assert seen and max(map(len, seen)) <= 2
+    got = {r["doc_id"]: r["cluster"] for r in topics.assign(vectors, model).collect()}
+    assert len(set(got.values())) == 5
+    for c in set(got.values()):  # a centre is the mean of its rows
+        mine = [r["features"].toArray() for r in vectors.collect() if got[r["doc_id"]] == c]
+        assert abs(model.clusterCenters()[c] - sum(mine) / len(mine)).max() < 1e-4

@@ -1,6 +1,6 @@
 """Defective question-answer pairs, with the type of defect.
 
-Copies: the answer is compressed with its question as a zstandard dictionary; what the dictionary
+Copies: every answer is compressed with its question as a zstandard dictionary; what the dictionary
 can't explain is what the answer adds.  An exact check on the words follows.
 Refusals: a dictionary of refusing phrases by language, sentence by sentence, so that an answer which
 goes on to say something isn't one.
@@ -66,8 +66,8 @@ INTERJECTIONS = (
 WORD_BITS = 16
 #: Share of an answer's bytes that its question doesn't explain, above which it is no copy.
 OWN_SHARE = 0.45
-#: Bytes of a zstandard frame besides the data, and characters below which its matches don't show.
-FRAME, SHORT = 12, 40
+#: Bytes that the dictionary has at least; zstandard ignores one of fewer than 8.
+DICTIONARY = 32
 #: Words that may stand before a copied question ("Your question was:").
 LEAD_WORDS = 5
 #: Log odds by which the answer's language must be likelier than the question's.
@@ -131,6 +131,7 @@ _SPEAKING = regex.compile(r"[\p{L}\p{N}\p{So}]")
 _SENTENCE = re.compile(r"[^.!?。！？\n]+[.!?。！？]*")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _HAN = re.compile(r"[㐀-鿿]")
+_UNIT = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
 _CODE = re.compile(r"```.*?(?:```|$)", re.S)
 _OPENERS = re.compile(r"[`(\[{（「“]")
 _SIXTH = re.compile(r"(?:[^a-zA-Z]*[a-zA-Z]+){4}")
@@ -185,25 +186,40 @@ def is_refusal(answer: str, question: str = "") -> bool:
 
 
 def own_share(question: str, answer: str) -> float:
-    """Share of the answer that remains when it is compressed with its question as the dictionary, without what a frame costs in any case."""
-    data = answer.encode()
-    if not data:
-        return 0.0
-    given = zstandard.ZstdCompressionDict(question.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    with_it = zstandard.ZstdCompressor(level=3, dict_data=given, write_content_size=False, write_dict_id=False)
-    return max(0, len(with_it.compress(data)) - FRAME) / len(data)
+    """Share of the answer that remains when it is compressed with its question as the dictionary.
+
+    What is measured is what the answer adds to the compressed size of the question itself, so that a frame and its tables, which
+    outweigh a short answer, count on both sides; the question stands behind the answer, for zstandard looks for no match in
+    the last bytes, and as often as it takes to fill a dictionary."""
+    data, given = answer.encode(), question.encode()
+    if not data or not given:
+        return 1.0 if data else 0.0
+    given *= -(-DICTIONARY // len(given))
+    held = zstandard.ZstdCompressionDict(given, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    if len(given) + len(data) > 1 << 17:  # a match may lie as far back as the texts are long
+        far = zstandard.ZstdCompressionParameters.from_level(3, window_log=min(30, (2 * len(given) + len(data)).bit_length()), write_content_size=False, write_dict_id=False)
+        with_it = zstandard.ZstdCompressor(compression_params=far, dict_data=held)
+    else:
+        with_it = zstandard.ZstdCompressor(level=3, dict_data=held, write_content_size=False, write_dict_id=False)
+    return max(0, len(with_it.compress(data + given)) - len(with_it.compress(given))) / len(data)
 
 
 def _letters(text: str) -> str:
     return _MARKS.sub("", text)
 
 
-def _copies(q: str, a: str) -> bool:
+def _plain(text: str) -> str:
+    return _MARKS.sub(" ", text).strip()
+
+
+def _in_order(words: list[str], of: list[str]) -> bool:
+    rest = iter(of)
+    return all(w in rest for w in words)
+
+
+def _says_again(q: str, a: str, lead: list[str]) -> bool:
+    """The exact check: no word but those of the question, in its order sentence by sentence, besides a few words before a colon."""
     whole, rest = _letters(q), _letters(a)
-    if not whole or not rest:
-        return False
-    if rest == whole:
-        return True  # equal after folding: nothing is left to compress
     last = _letters((_SENTENCE.findall(q) or [q])[-1])
     if whole in rest:
         left = rest.replace(whole, "")
@@ -212,20 +228,33 @@ def _copies(q: str, a: str) -> bool:
     elif rest in whole and 2 * len(rest) >= len(whole):
         left = ""
     else:
-        return False  # what isn't in the question in one piece is no copy; cheaper to see than to compress
+        left = rest
+    if not left or (len(lead) > 1 and left == _letters(lead[0])):
+        return True
+    asked, asking = _UNIT.findall(q), _UNIT.findall((_SENTENCE.findall(q) or [q])[-1])
+    said = [_UNIT.findall(s) for s in set(_SENTENCE.findall(lead[-1]))]
+    if not all(_in_order(s, asked) for s in said):
+        return False
+    return any(2 * sum(map(len, s)) >= len(last) and _in_order(s, asking) for s in said)  # most of what is asked, not of what leads to it
+
+
+def _copies(q: str, a: str) -> bool:
+    asked, given = _plain(q), _plain(a)
+    if not asked or not given:
+        return False
     lead = re.split(r"[:：]", a, maxsplit=1)
-    allowed = _letters(lead[0]) if len(lead) > 1 and len(_WORD.findall(lead[0])) <= LEAD_WORDS else ""
-    if left and left != allowed:
+    if len(lead) > 1 and len(_WORD.findall(lead[0])) > LEAD_WORDS:
+        lead = [a]
+    if own_share(asked, given) > OWN_SHARE and (len(lead) == 1 or own_share(asked, _plain(lead[1])) > OWN_SHARE):
         return False
-    said = lead[1] if left else a
-    return len(said) < SHORT or own_share(q, said) <= OWN_SHARE
+    return _says_again(q, a, lead)
 
 
 def is_copy(question: str, answer: str) -> bool:
     """The answer gives the question back and adds nothing of substance.
 
-    Pairs that are a copy by their letters are compressed, question as dictionary; where the answer has fewer than SHORT
-    characters zstandard finds no match in the dictionary, and the letters decide."""
+    Every pair is compressed, question as dictionary, whatever its length; those whose answer the question explains
+    meet the exact check of their words."""
     return _copies(tidy(question).lower(), tidy(answer).lower())
 
 

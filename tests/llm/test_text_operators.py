@@ -227,6 +227,25 @@ def test_copies_of_short_questions(question):
     assert not defects.is_copy(question, f"{question} Because the pump is broken.")
 
 
+def test_compression_tells_what_an_answer_adds():
+    q = "which comes first, the barn or the compost"
+    for asked in ("why", "is it", q, "為什麼", q * 50):
+        assert defects.own_share(asked, asked) <= 0.1, asked
+        for new in ("292", "no", "xyz quick jumps"):
+            assert defects.own_share(asked, new) >= 0.8, (asked, new)
+    rng = random.Random(3)
+    far = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400_000))  # 3 MB: beyond the usual window
+    assert defects.own_share(far, far) <= 0.1
+
+
+def test_copies_that_are_not_in_one_piece():
+    q = "Water is scarce here. Which comes first, the barn or the compost?"
+    for a in ("Which comes first, the barn or the compost? Water is scarce here.", "You asked: Which comes first, barn or compost?", "Which comes first, barn or compost? Which comes first, barn or compost?"):
+        assert defects.is_copy(q, a), a
+    for a in ("The compost comes first, the barn is scarce.", "First the barn, the compost comes.", "Which comes first, the barn or the tractor?", "First, the barn.", "Water is scarce."):
+        assert not defects.is_copy(q, a), a
+
+
 def test_refusals_of_any_length():
     long = "I'm sorry, but " + "given all that has been said about it in this conversation so far " * 20
     assert defects.is_refusal(long + "I cannot help with that request.")

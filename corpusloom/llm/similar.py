@@ -11,7 +11,10 @@
 5. An exact check on the whole sets connects the records of a leaf; what it connects is a fragment.
 6. A split may tear a matter apart.  So the fragments, each with its centre and its most typical
    record, are bisected again, PASSES times from other starts, and those that meet in a leaf
-   and pass the exact check become one.  The fragments left are the groups.
+   and pass the exact check become one.
+7. TOP features and a heuristic decide so far who meets whom.  What they miss is found exactly: all pairs
+   of records in different groups whose whole vectors, without TOP, are similar to NEAR, by a prefix filter.
+   Where such a pair passes the exact check, and the most typical records of both groups do, the groups become one.
 
 No step compares all rows of a large group: a leaf is checked in blocks of BLOCK_ROWS rows, and the
 passes over fragments connect the blocks.  Only similar_pairs, which lists pairs, does, block by block.
@@ -29,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.dedup import components
 from ..session import drop, stored
 from .bisect import ATTEMPTS, ROUNDS, bisect, coin, take
 
@@ -44,6 +48,10 @@ COMPACT = 0.3
 LINK, PAIR = 0.35, 0.2
 #: Passes over the fragments.
 PASSES = 3
+#: Similarity of two whole vectors for clustering at which records that pass the exact check are of one group, whatever leaves they are in.
+NEAR = 0.5
+#: Length of a vector's part that isn't in its head, rounding that bounds allow for, and pairs that are looked at in one piece.
+TAIL, SLACK, PIECE = 0.2, 1e-3, 1_000_000
 #: Rows of a node that one task bisects on.
 NODE_ROWS = 131_072
 #: Dimensions of a centre in the cluster's splits, as a power of two: at most 8 MB a plane.
@@ -683,6 +691,162 @@ def _grower(table, cap: float, compact: float, link: float, pair: float, block_r
     return grow
 
 
+# ---- pairs that no leaf brought together ------------------------------------------------------
+_POSTING, _HEAD = "feature long, room float, no long", "no long, head binary, head_weights binary, tail float"
+
+
+def _ranked(bodies, table, cap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:  # noqa: ANN001
+    """(lengths, features, weights, room): vectors for clustering of all features that other records have too, rarest first.
+
+    room: the length of the vector from that feature on; no pair whose first common feature it is can be more similar than the product of both."""
+    lengths, feats = _values(bodies, np.uint32)
+    levels = np.frombuffer(table.value, np.uint8)[feats >> np.uint32(32 - BUCKET_BITS)]
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.lexsort((feats, -levels.astype(np.int16), doc))
+    order = order[levels[order] != ALONE]
+    lengths = np.bincount(doc[order], minlength=len(lengths))
+    weights = _weighted(lengths, levels[order], cap, POWER_CLUSTER)
+    total = np.append(0.0, np.cumsum(weights.astype(np.float64) ** 2))
+    room = np.sqrt(np.maximum(np.repeat(total[np.cumsum(lengths)], lengths) - total[:-1], 0))
+    return lengths, feats[order], weights, room
+
+
+def _to_postings(table, cap: float, near: float):  # noqa: ANN001, ANN202
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths, feats, _, room = _ranked(b.column("body"), table, cap)
+            keep = room >= near - SLACK
+            no = np.repeat(_numbers(b.column("no")), lengths)[keep]
+            yield _batch(feature=pa.array(feats[keep].astype(np.int64)), room=pa.array(room[keep].astype(np.float32)), no=pa.array(no))
+
+    return post
+
+
+def _to_heads(table, cap: float):  # noqa: ANN001, ANN202
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths, feats, weights, room = _ranked(b.column("body"), table, cap)
+            doc, keep = np.repeat(np.arange(len(lengths)), lengths), room >= TAIL
+            tail = np.sqrt(np.bincount(doc[~keep], weights[~keep].astype(np.float64) ** 2, len(lengths))).astype(np.float32)
+            kept = np.bincount(doc[keep], minlength=len(lengths))
+            yield _batch(no=b.column("no"), head=_binary(kept, feats[keep]), head_weights=_binary(kept, weights[keep]), tail=pa.array(tail))
+
+    return head
+
+
+def _pairer(near: float):  # noqa: ANN202
+    """Pairs (a, b) of rows of different groups that have a feature in common and may be similar to near."""
+
+    def pair(rows: pa.Table) -> pa.Table:
+        one = rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
+        rows = rows.sort_by([("feature", "ascending"), ("grp", "ascending")]).combine_chunks()
+        feature, grp, no, room, part, tail = (_numbers(rows.column(c)) for c in ("feature", "grp", "no", "room", "part", "tail"))
+        n = rows.num_rows
+        changed = feature[1:] != feature[:-1]
+
+        def end(turns: np.ndarray) -> np.ndarray:
+            """For each row the end of its run."""
+            stops = np.append(np.flatnonzero(turns) + 1, n)
+            return stops[np.searchsorted(stops, np.arange(n), side="right")]
+
+        own = end(changed | (grp[1:] != grp[:-1]))
+        count = end(changed) - own  # each row meets those of the groups after its own
+        lengths, feats = _values(rows.column("head"), np.uint32)
+        _, weights = _values(rows.column("head_weights"), np.float32)
+        starts = np.cumsum(lengths) - lengths
+        key = (np.repeat(np.arange(n), lengths) << 32) | feats
+        by = np.argsort(key)
+        key, value = key[by], weights[by].astype(np.float64)
+        first, second, before = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.append(0, np.cumsum(count))
+        at = 0
+        while at < n:
+            until = max(at + 1, int(np.searchsorted(before, before[at] + PIECE, side="right")) - 1)
+            c = count[at:until]
+            x = np.repeat(np.arange(at, until), c)
+            y = np.repeat(own[at:until] - before[at:until] + before[at], c) + np.arange(len(x))
+            may = room[x].astype(np.float64) * room[y] >= near - SLACK
+            if not one:
+                may &= part[x] != part[y]
+            x, y = x[may], y[may]
+            if len(x):
+                of = np.repeat(np.arange(len(x)), lengths[x])
+                spot = np.arange(len(of)) - np.repeat(np.cumsum(lengths[x]) - lengths[x], lengths[x]) + np.repeat(starts[x], lengths[x])
+                sought = (y[of] << 32) | feats[spot]
+                found = np.minimum(np.searchsorted(key, sought), len(key) - 1)
+                hit = key[found] == sought
+                common = np.bincount(of[hit], weights[spot[hit]] * value[found[hit]], len(x))
+                may = common + np.maximum(tail[x], tail[y]) >= near - SLACK
+                first.append(no[x[may]])
+                second.append(no[y[may]])
+            at = until
+        a, b = np.concatenate(first), np.concatenate(second)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return pair
+
+
+def _dots(one: tuple, other: tuple, n: int) -> np.ndarray:
+    """Dot products of so many rows of (lengths, features, weights) with the same rows of another."""
+    x, y = ((np.repeat(np.arange(n), lengths).astype(np.int64) << 32) | feats for lengths, feats, _ in (one, other))
+    order = np.argsort(y)
+    at = np.minimum(np.searchsorted(y[order], x), max(0, len(y) - 1))
+    hit = y[order][at] == x if len(y) else np.zeros(len(x), bool)
+    return np.bincount(x[hit] >> 32, one[2][hit].astype(np.float64) * other[2][order][at[hit]], n) if hit.any() else np.zeros(n)
+
+
+def _linker(table, cap: float, near: float, link: float):  # noqa: ANN001, ANN202
+    """The groups of each pair that is similar enough, by all its features."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bodies = [b.column(c) for c in ("body_a", "body_b")]
+            close = _dots(*(_ranked(x, table, cap)[:3] for x in bodies), b.num_rows) >= near
+            whole = [_whole(x, table, cap) for x in bodies]
+            close &= _dots(*((np.diff(indptr), feats, weights) for indptr, feats, weights in whole), b.num_rows) >= link
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(close)) for c in ("group_a", "group_b")], ["a", "b"])
+
+    return check
+
+
+def missed_links(own: DataFrame, items: DataFrame, typical: DataFrame, table, cap: float, near: float, link: float, block_rows: int, texts: int) -> DataFrame:  # noqa: ANN001
+    """(a, b): groups of which a record of one and a record of the other are similar to near by their whole vectors, and to link by the exact check.
+
+    Since one pair may be a chance, the same must hold of the most typical records (key, body) of both.
+
+    Prefix filter: a record is listed under its rarest features while what follows is near long.  A list of one group's rows
+    alone is left out, in the others only rows of different groups meet, long lists in blocks; the features of both that
+    matter go along, so that few pairs have their texts' whole sets fetched."""
+    numbered = items.where("length(feats) > 0").select(F.xxhash64("key").alias("no"), "body")
+    placed = own.select(F.xxhash64("id").alias("no"), "group_id")
+    postings = stored(numbered.mapInArrow(_to_postings(table, cap, near), _POSTING).join(placed.select("no", F.xxhash64("group_id").alias("grp")), "no"), "postings")
+    several = postings.groupBy("feature").agg(F.count("*").alias("n"), F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high")
+    dealt = postings.join(several.select("feature", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "feature").join(numbered.mapInArrow(_to_heads(table, cap), _HEAD), "no")
+    dealt = dealt.withColumn("part", F.pmod("no", F.col("parts")).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    task = F.when(F.col("parts") > 1, F.col("feature")).otherwise(F.pmod(F.xxhash64("feature"), F.lit(max(1, texts // 10_000))))
+    dealt = dealt.select(task.alias("task"), (F.col("parts") > 1).alias("large"), F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j"), "part", "feature", "grp", "no", "room", "head", "head_weights", "tail")
+    pairs = stored(dealt.groupBy("large", "task", "i", "j").applyInArrow(_pairer(near), "a long, b long").distinct(), "candidates")
+    drop(postings)
+    ends = stored(numbered.join(pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct(), "no", "left_semi").join(placed, "no"), "ends")
+    side = lambda c: ends.select(F.col("no").alias(c), F.col("body").alias(f"body_{c}"), F.col("group_id").alias(f"group_{c}"))
+    links = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linker(table, cap, near, link), "a string, b string").distinct(), "links")
+    drop(pairs)
+    drop(ends)
+    side = lambda c: typical.select(F.col("key").alias(c), F.col("key").alias(f"group_{c}"), F.col("body").alias(f"body_{c}"))
+    passed = stored(links.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linker(table, cap, near, link), "a string, b string"), "links")
+    drop(links)
+    return passed
+
+
+def _add_centres(table: pa.Table) -> pa.Table:
+    """One centre of the fragments of a group, by their sizes."""
+    lengths, feats = _values(table.column("feats"), np.uint32)
+    _, weights = _values(table.column("weights"), np.float32)
+    feats, where = np.unique(feats, return_inverse=True)
+    centre = np.bincount(where, weights * np.repeat(_numbers(table.column("size")), lengths), len(feats))
+    centre = (centre / max(float(np.sqrt(centre @ centre)), 1e-12)).astype(np.float32)
+    return pa.table({"key": table.column("now")[:1], "feats": pa.array([feats.tobytes()], pa.binary()), "weights": pa.array([centre.tobytes()], pa.binary())})
+
+
 @dataclass
 class Similar:
     """What similar_groups found: tables in the shared folder and the broadcast frequency table."""
@@ -698,7 +862,7 @@ class Similar:
     texts: int
 
 
-def similar_groups(df: DataFrame, *, compact: float = COMPACT, link: float = LINK, pair: float = PAIR, passes: int = PASSES, node_rows: int = NODE_ROWS, block_rows: int = BLOCK_ROWS, planes: int = PLANES) -> Similar:
+def similar_groups(df: DataFrame, *, compact: float = COMPACT, link: float = LINK, pair: float = PAIR, passes: int = PASSES, near: float = NEAR, node_rows: int = NODE_ROWS, block_rows: int = BLOCK_ROWS, planes: int = PLANES) -> Similar:
     """Cluster records (id, text) by what they deal with.
 
     `members` of the result has one row for each id: id, group_id (the smallest id of the group's texts)
@@ -725,7 +889,7 @@ def similar_groups(df: DataFrame, *, compact: float = COMPACT, link: float = LIN
     items = stored(texts.mapInArrow(_to_items(table, cap), _ITEM), "items")
     drop(texts)
     bound = items.where("length(feats) > 0")  # the others share no feature with any other record
-    grown, maps = None, []
+    grown, maps, made = None, [], []
     for i in range(passes + 1):
         source, n = (bound, count) if i == 0 else (grown.where(F.col("kind") == FRAGMENT).select("key", "size", "feats", "weights", "body"), fragments)
         placed = nodes_of(source, n, 10_000 * (i + 1), compact=compact, node_rows=node_rows, block_rows=block_rows, planes=planes)
@@ -734,16 +898,30 @@ def similar_groups(df: DataFrame, *, compact: float = COMPACT, link: float = LIN
             leaves = new
         else:
             maps.append(new.where((F.col("kind") == MEMBER) & (F.col("key") != F.col("fragment"))).select(F.col("key").alias("was"), F.col("fragment").alias("now")))
+        made.append(new)
         grown, fragments = new, new.where(F.col("kind") == FRAGMENT).count()
     own = leaves.where(F.col("kind") == MEMBER).select(F.col("key").alias("id"), "fragment", "listed", "partners", F.col("fragment").alias("group_id"))
     for m in maps:
         own = own.join(m, F.col("group_id") == F.col("was"), "left").withColumn("group_id", F.coalesce("now", "group_id")).drop("was", "now")
     alone = items.where("length(feats) = 0").select(F.col("key").alias("id"), F.col("key").alias("fragment"), F.lit(True).alias("listed"), F.array().cast("array<string>").alias("partners"), F.col("key").alias("group_id"))
     own = stored(own.unionByName(alone), "groups")
+    for grew in made[:-1]:
+        drop(grew)
+    centres = grown.where(F.col("kind") == FRAGMENT).select("key", "size", "feats", "weights")
+    links = missed_links(own, items, grown.where(F.col("kind") == FRAGMENT).select("key", "body"), table, cap, near, link, block_rows, count)
+    if not links.isEmpty():
+        joined = components(links).where("node <> component").select(F.col("node").alias("was"), F.col("component").alias("now"))
+        apart, own = own, stored(own.join(joined, F.col("group_id") == F.col("was"), "left").withColumn("group_id", F.coalesce("now", "group_id")).drop("was", "now"), "groups")
+        drop(apart)
+        centres = centres.join(joined, F.col("key") == F.col("was"), "left").withColumn("now", F.coalesce("now", "key"))
+        whole = centres.join(joined.select("now").distinct(), "now", "left_semi").groupBy("now").applyInArrow(_add_centres, "key string, feats binary, weights binary")
+        centres = stored(centres.join(joined.select("now").distinct(), "now", "left_anti").select("key", "feats", "weights").unionByName(whole), "centres")
+        drop(grown)
+    drop(links)
     copies = chosen.join(leads.where("copies > 1"), "text_hash").where("id <> lead.id").select("id", F.col("lead.id").alias("copy_of"))
     of_copies = copies.join(own.select(F.col("id").alias("copy_of"), "group_id"), "copy_of").select("id", "group_id", "copy_of")
     members = own.select("id", "group_id", F.lit(None).cast("string").alias("copy_of")).unionByName(of_copies)
-    centres = grown.where(F.col("kind") == FRAGMENT).select("key", "feats", "weights")
+    centres = centres.select("key", "feats", "weights")
     return Similar(members, own, items, centres, table, cap, pair, block_rows, count)
 
 
@@ -803,16 +981,7 @@ def similar_pairs(groups: Similar) -> DataFrame:
 def _nearness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Dot product of each row's vector with its group's centre."""
     for b in batches:
-        out = []
-        for f, w in (("feats", "weights"), ("centre", "centre_weights")):
-            lengths, feats = _values(b.column(f), np.uint32)
-            _, weights = _values(b.column(w), np.float32)
-            out.append(((np.repeat(np.arange(len(lengths)), lengths).astype(np.int64) << 32) | feats, weights))
-        (x, u), (y, v) = out
-        order = np.argsort(y)
-        at = np.minimum(np.searchsorted(y[order], x), max(0, len(y) - 1))
-        hit = y[order][at] == x if len(y) else np.zeros(len(x), bool)
-        near = np.bincount(x[hit] >> 32, u[hit].astype(np.float64) * v[order][at[hit]], b.num_rows) if hit.any() else np.zeros(b.num_rows)
+        near = _dots(*((*_values(b.column(f), np.uint32), _values(b.column(w), np.float32)[1]) for f, w in (("feats", "weights"), ("centre", "centre_weights"))), b.num_rows)
         yield _batch(leaf=b.column("leaf"), id=b.column("id"), records=b.column("records"), near=pa.array(near))
 
 

@@ -438,3 +438,20 @@ def test_subjects_on_held_out_documents(spark):
     assert makeup["software"] == 1 and makeup["none"] >= 2
     assert subjects.subjects_of(docs.where("false"), given, areas).count() == 0
     assert {r["subject"] for r in subjects.subjects_of(docs, given.where("false"), areas).collect()} == {"software"}
+
+
+def test_texts_that_share_nothing_of_their_rarest_words(spark):
+    """Words that few others have take all places of the vectors for clustering; what the texts have in common comes after them."""
+    rows = [(f"n{k:03d}", f"nothing{k}x unlike{k}y this{k}z") for k in range(400)]
+    shared = " ".join(f"shared{i}x" for i in range(70))
+    for k in range(16):
+        rare = [f"rare{k}y{i}" for i in range(12)]
+        rows.append((f"z{k:02d}", shared + " " + " ".join(rare)))
+        rows += [(f"p{k:02d}w{i:02d}", f"{w} other{k}v{i}a other{k}v{i}b") for i, w in enumerate(rare)]
+    df = spark.createDataFrame(rows, SHAPE)
+    wanted = set(itertools.combinations([f"z{k:02d}" for k in range(16)], 2))
+    for bounds in ({}, {"block_rows": 5}):  # lists of more than five rows are dealt
+        groups = similar.similar_groups(df, **bounds)
+        assert pairs_of(groups) == wanted
+        report = {r["leaf"]: (r["records"], len(r["typical"])) for r in similar.group_report(groups).collect()}
+        assert report == {"z00": (16, 3)}
